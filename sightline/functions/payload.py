@@ -27,6 +27,11 @@ def render(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
+def to_base64(blob: Column) -> Column:
+    """base64 text on one line, whatever the session's line length is."""
+    return F.translate(F.base64(blob), "\r\n", "")
+
+
 def score_map(scores: Column) -> Column:
     """Score array -> map of attribute name to score."""
     return F.map_from_arrays(F.array(*[F.lit(name) for name in SCORED]), scores)

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sightline.functions.payload import to_base64
+
 
 def add(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
@@ -65,7 +67,7 @@ def unpack_floats(blobs: pd.Series) -> pd.Series:
 
 def encode_feature(vec: Column) -> Column:
     """Feature vector as the base64 text that is stored with an entity."""
-    return F.base64(pack_floats(vec))
+    return to_base64(pack_floats(vec))
 
 
 def decode_feature(text: Column) -> Column:
