@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,9 +10,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Models held by this Python worker, by name; a worker serves many tasks.
-_MODELS: dict[str, Callable[[pd.DataFrame], pd.DataFrame]] = {}
-
 
 def score_batches(
     df: DataFrame,
@@ -26,9 +24,12 @@ def score_batches(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if name not in _MODELS:
-            _MODELS[name] = factory()
-        model = _MODELS[name]
+        # A worker serves many tasks, but each task unpickles this function with
+        # its own globals; what has to outlive the task is kept with the interpreter.
+        models = vars(sys).setdefault("_sightline_models", {})
+        if name not in models:
+            models[name] = factory()
+        model = models[name]
         for batch in batches:
             yield model(batch)
 
