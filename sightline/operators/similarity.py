@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.functions.vectors import cosine, dissimilarity, mean_abs_diff
+from sightline.functions.names import time_key
+from sightline.functions.vectors import dot, mean_abs_diff
 from sightline.operators.ranking import top_per_key
 
 # Probes up to this size go to every task; beyond it blocks of both sides meet.
@@ -131,27 +132,36 @@ def _topk_blocks(probes, gallery, k, skip_self, block_rows):
     return left.cogroup(right).applyInPandas(run, CANDIDATE)
 
 
-def _with_ends(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    a = rows.select(F.col("id").alias("src"), F.col(column).alias("_a"))
-    b = rows.select(F.col("id").alias("dst"), F.col(column).alias("_b"))
-    return pairs.join(a, "src").join(b, "dst")
+def _with_ends(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with the columns of both ends, as ``_a_...`` and ``_b_...``."""
+    for end, mark in (("src", "_a_"), ("dst", "_b_")):
+        side = rows.select(F.col("id").alias(end), *[F.col(c).alias(mark + c) for c in columns])
+        pairs = pairs.join(side, end)
+    return pairs
+
+
+def _without_ends(pairs: DataFrame) -> DataFrame:
+    return pairs.drop(*[c for c in pairs.columns if c.startswith(("_a_", "_b_"))])
 
 
 def pair_similarity(pairs: DataFrame, features: DataFrame) -> DataFrame:
-    """Similarity and dissimilarity of given pairs of features."""
-    scored = _with_ends(pairs, features, "vec").withColumns({
-        "similarity": cosine(F.col("_a"), F.col("_b")),
-        "dissimilarity": dissimilarity(F.col("_a"), F.col("_b")),
-    })
-    return scored.drop("_a", "_b")
+    """Cosine similarity of given pairs of features, and 1 minus it as dissimilarity.
+
+    Lengths are taken once per feature, not once per pair.
+    """
+    rows = features.select("id", "vec", F.sqrt(dot(F.col("vec"), F.col("vec"))).alias("len"))
+    scored = _with_ends(pairs, rows, "vec", "len").withColumn(
+        "similarity", dot(F.col("_a_vec"), F.col("_b_vec")) / (F.col("_a_len") * F.col("_b_len"))
+    )
+    return _without_ends(scored.withColumn("dissimilarity", 1.0 - F.col("similarity")))
 
 
 def attr_distance(pairs: DataFrame, scores: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distance of given pairs by their attribute scores."""
     rows = scores.select("id", F.array(*columns).alias("vec"))
-    return _with_ends(pairs, rows, "vec").withColumn(
-        "distance", mean_abs_diff(F.col("_a"), F.col("_b"))
-    ).drop("_a", "_b")
+    return _without_ends(
+        _with_ends(pairs, rows, "vec").withColumn("distance", mean_abs_diff(F.col("_a_vec"), F.col("_b_vec")))
+    )
 
 
 def sim_by_bucket(pairs: DataFrame, times: DataFrame) -> DataFrame:
@@ -160,7 +170,9 @@ def sim_by_bucket(pairs: DataFrame, times: DataFrame) -> DataFrame:
     Reads the links that exist instead of pairing up the members of a bucket.
     """
     linked = _with_ends(pairs, times, "start_time")
-    same_minute = F.substring("_a", 1, 12) == F.substring("_b", 1, 12)
-    same_hour = F.substring("_a", 1, 10) == F.substring("_b", 1, 10)
+    same_minute, same_hour = (
+        time_key(F.col("_a_start_time"), level) == time_key(F.col("_b_start_time"), level)
+        for level in ("minute", "hour")
+    )
     level = F.when(same_minute, F.lit("minute")).when(same_hour, F.lit("hour"))
-    return linked.withColumn("level", level).where(F.col("level").isNotNull()).drop("_a", "_b")
+    return _without_ends(linked.withColumn("level", level).where(F.col("level").isNotNull()))

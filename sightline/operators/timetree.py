@@ -32,7 +32,8 @@ def time_bucket_join(
     with the range as a condition, so no entity meets a bucket of another hour.
     An edge is created once. Entities outside every bucket get none.
     """
-    packed = entities.select(*keys, F.col(time).try_cast("bigint").alias("_t"))
+    # Never null, so that Spark does not compute the time again for a null check.
+    packed = entities.select(*keys, F.coalesce(F.col(time).try_cast("bigint"), F.lit(-1)).alias("_t"))
     placed = packed.withColumn("hour_key", int_div(F.col("_t"), 10_000)).join(
         buckets.select("hour_key", "bucket_start", "bucket_end"), "hour_key"
     ).where(

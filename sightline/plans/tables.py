@@ -46,9 +46,16 @@ class Tables:
         self.spark = pin_time_zone(spark)
         self.folder = folder
         self.hot_rows = hot_rows
+        self._known: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build) -> DataFrame:
+        """The same frame for every use in a query, so that footers and skew are read once."""
+        if name not in self._known:
+            self._known[name] = build()
+        return self._known[name]
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._once(name, lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def events(self) -> DataFrame:
         return self.read("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
@@ -122,8 +129,11 @@ class Tables:
 
     def numbered_entities(self) -> DataFrame:
         """Entities with their serial number in the video and the number declared for it."""
-        return number_rows(
-            self.entities(), ["video"], [F.asc("entity")], index="serial", total="num", hot_rows=self.hot_rows
+        return self._once(
+            "_numbered",
+            lambda: number_rows(
+                self.entities(), ["video"], [F.asc("entity")], index="serial", total="num", hot_rows=self.hot_rows
+            ),
         )
 
     def stored_entities(self) -> DataFrame:
@@ -154,7 +164,9 @@ class Tables:
             F.col("l_suppkey").alias("_b"),
         )
         order = [F.asc(c) for c in ("h", "_a", "_b", "w", "s1", "s2")]
-        return number_rows(raw, ["entity"], order, total="n", hot_rows=self.hot_rows).drop("_a", "_b")
+        return self._once(
+            "_boxes", lambda: number_rows(raw, ["entity"], order, total="n", hot_rows=self.hot_rows).drop("_a", "_b")
+        )
 
     def patched_boxes(self) -> DataFrame:
         """Boxes whose pixels are a text made of their place."""
@@ -177,12 +189,8 @@ class Tables:
 
     def time_buckets(self) -> DataFrame:
         """The first half of every hour of each video's day and of the next day."""
-        first = self.videos().select(
-            F.try_to_timestamp(F.substring_index(F.substring_index("video", "-", 2), "-", -1), F.lit(NAME_FORMAT))
-            .cast("date")
-            .alias("day")
-        )
-        days = first.distinct().select(F.explode(F.array("day", F.date_add("day", 1))).alias("day")).distinct()
+        first = self.read("orders").select(F.date_trunc("week", F.col("o_orderdate")).cast("date").alias("day")).distinct()
+        days = first.select(F.explode(F.array("day", F.date_add("day", 1))).alias("day")).distinct()
         hour = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23).cast("bigint")))
         keyed = days.select(F.date_format("day", "yyyyMMdd").cast("bigint").alias("d"), hour.alias("h"))
         key = F.col("d") * 100 + F.col("h")

@@ -38,9 +38,9 @@ def pin_time_zone(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints: the one the cluster names, never a local one on a cluster."""
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = context.getCheckpointDir()
+    if current:
+        return current
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         if not context.master.startswith("local"):
