@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.names import to_micros
@@ -70,12 +70,31 @@ def buffered_join(
     return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in extra])
 
 
+def _meetings(left: DataFrame, right: DataFrame, keys: Sequence[str], wait: int) -> DataFrame:
+    """What happens to the rows of each (key, batch): ``both``, ``left``, ``late`` or ``waits``.
+
+    Decided on one row per key and batch. ``late`` right rows find a left row
+    waiting, at most ``wait`` batches old; ``waits`` right rows do not.
+    """
+    marked = left.select(*keys, "_batch", F.lit(True).alias("_l"), F.lit(False).alias("_r")).unionByName(
+        right.select(*keys, "_batch", F.lit(False).alias("_l"), F.lit(True).alias("_r"))
+    )
+    present = marked.groupBy(*keys, "_batch").agg(F.bool_or("_l").alias("_l"), F.bool_or("_r").alias("_r"))
+    before = Window.partitionBy(*keys).orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1)
+    last_left = F.max(F.when(~F.col("_r"), F.col("_batch"))).over(before)
+    kind = (
+        F.when(F.col("_l") & F.col("_r"), "both")
+        .when(F.col("_l"), "left")
+        .when(F.col("_batch") - last_left <= wait, "late")
+        .otherwise("waits")
+    )
+    return present.select(*keys, "_batch", kind.alias("_kind"))
+
+
 def consume_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    left_id: str = "left_id",
-    right_id: str = "right_id",
     left_ts: str = "left_ts",
     right_ts: str = "right_ts",
     batch_ms: int = BATCH_MS,
@@ -88,31 +107,24 @@ def consume_join(
     so later right rows pair with it again.
     ``late_left``: a leftover right row that found no waiting left row waits
     itself for later left rows.
-    Ids must be unique on each side.
     """
     keys = list(keys)
-    left = left.withColumn("_lb", batch_of(F.col(left_ts), batch_ms))
-    right = right.withColumn("_rb", batch_of(F.col(right_ts), batch_ms))
-    split = full_outer_split(
-        left.withColumn("_batch", F.col("_lb")), right.withColumn("_batch", F.col("_rb")), [*keys, "_batch"]
-    )
-    instant = split["both"].drop("_batch").withColumn("how", F.lit("instant"))
-
-    # Batches are apart by less than the buffer; a whole-batch distance never
-    # exceeds the row distance by more than a batch.
+    left = left.withColumn("_batch", batch_of(F.col(left_ts), batch_ms))
+    right = right.withColumn("_batch", batch_of(F.col(right_ts), batch_ms))
+    # A buffered row is seen by batches that start less than a buffer after its own.
+    wait = (buffer_ms - 1) // batch_ms
+    kinds = _meetings(left, right, keys, wait)
+    a = left.join(kinds, [*keys, "_batch"]).withColumnsRenamed({"_batch": "_lb", "_kind": "_lk"})
+    b = right.join(kinds, [*keys, "_batch"]).withColumnsRenamed({"_batch": "_rb", "_kind": "_rk"})
     apart = F.col("_rb") - F.col("_lb")
-    near = buffered_join(
-        split["left"].drop("_batch"),
-        split["right"].drop("_batch"),
-        keys,
-        left_ts,
-        right_ts,
-        buffer_ms + batch_ms,
-    ).where((F.abs(apart) * batch_ms < buffer_ms) & (apart != 0))
-    late_right = near.where(apart > 0).withColumn("how", F.lit("late_right"))
-    taken = late_right.select(right_id).distinct()
-    late_left = near.where(apart < 0).join(taken, right_id, "left_anti").withColumn("how", F.lit("late_left"))
-    return instant.unionByName(late_right).unionByName(late_left).drop("_lb", "_rb")
+    waiting = (F.col("_lk") == "left") & F.col("_rk").isin("late", "waits")
+    how = (
+        F.when((F.col("_lk") == "both") & (apart == 0), "instant")
+        .when(waiting & apart.between(1, wait), "late_right")
+        .when(waiting & apart.between(-wait, -1) & (F.col("_rk") == "waits"), "late_left")
+    )
+    pairs = buffered_join(a, b, keys, left_ts, right_ts, buffer_ms + batch_ms)
+    return pairs.withColumn("how", how).where(F.col("how").isNotNull()).drop("_lb", "_lk", "_rb", "_rk")
 
 
 def joined_union(pairs: DataFrame, ready: DataFrame) -> DataFrame:

@@ -68,3 +68,44 @@ def zero_recognizer(names: list[str]) -> Callable[[], Callable[[pd.DataFrame], p
         return score
 
     return build
+
+
+TRACKS = "video string, serial long, num long, start_frame long, n_boxes long"
+
+
+def stand_in_tracker() -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+    """Repeatable stand-in for a tracker: 3..32 entities per video, each with 1..31 boxes."""
+
+    def build():
+        def track(videos: pd.DataFrame) -> pd.DataFrame:
+            mark = videos.video.str.split("-").str[1].astype("int64") % 97
+            num = 3 + mark % 30
+            out = videos[["video"]].assign(mark=mark, num=num).loc[videos.index.repeat(num)]
+            serial = out.groupby("video").cumcount().astype("int64")
+            return pd.DataFrame({
+                "video": out.video,
+                "serial": serial,
+                "num": out.num,
+                "start_frame": 1 + (out.mark * 31 + serial * 17) % 10_000,
+                "n_boxes": 1 + (out.mark + serial * 7) % 31,
+            })
+
+        return track
+
+    return build
+
+
+def stand_in_extracter(length: int = 128) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+    """Repeatable stand-in for a feature network: a vector of fixed length for every box."""
+
+    def build():
+        steps = np.arange(length, dtype="int64")
+
+        def extract(boxes: pd.DataFrame) -> pd.DataFrame:
+            base = (boxes.x * 31 + boxes.y * 17 + boxes.w * 7 + boxes.h * 3).to_numpy("int64")
+            vecs = ((base[:, None] + steps[None, :]) % 256 / 256).astype("float32")
+            return pd.DataFrame({"entity": boxes.entity.to_numpy(), "idx": boxes.idx.to_numpy(), "vec": list(vecs)})
+
+        return extract
+
+    return build

@@ -132,6 +132,12 @@ def _topk_blocks(probes, gallery, k, skip_self, block_rows):
     return left.cogroup(right).applyInPandas(run, CANDIDATE)
 
 
+def rank_lists(top: DataFrame) -> DataFrame:
+    """Ranked rows -> one array of ids per probe, best first; as long as ``k``."""
+    listed = F.array_sort(F.collect_list(F.struct("rank", "id")))
+    return top.groupBy("probe").agg(F.transform(listed, lambda r: r.getField("id")).alias("ids"))
+
+
 def _with_ends(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
     """Pairs with the columns of both ends, as ``_a_...`` and ``_b_...``."""
     for end, mark in (("src", "_a_"), ("dst", "_b_")):

@@ -18,7 +18,7 @@ from sightline.operators import ranking as W
 from sightline.operators import reports, routing, scoring, similarity, timetree
 from sightline.operators import sequences as S
 from sightline.plans import commands as C
-from sightline.plans.tables import Tables
+from sightline.plans.tables import TOPIC_OF, Tables
 from sightline.schema import ATTRS
 
 HOUR_MS = 3_600_000
@@ -247,7 +247,7 @@ def serial_number(t: Tables) -> DataFrame:
 @query
 def topic_split(t: Tables) -> DataFrame:
     body = T.StructType([T.StructField("k", T.LongType())])
-    split = routing.topic_split(t.messages(), {"TRACKLET": body, "ATTRIBUTES": body, "COMMAND": body})
+    split = routing.topic_split(t.messages("TRACKLET", "ATTRIBUTES", "COMMAND"), {"TRACKLET": body, "ATTRIBUTES": body, "COMMAND": body})
     parts = [
         df.groupBy("topic").agg(F.count(F.lit(1)).alias("n_messages"), F.sum("payload.k").alias("sum_k"))
         for df in split.values()
@@ -257,7 +257,7 @@ def topic_split(t: Tables) -> DataFrame:
 
 @query
 def port_filter(t: Tables) -> DataFrame:
-    arrived = routing.for_port(t.messages(), "pedestrian-tracklet-saving")
+    arrived = routing.for_port(t.messages("TRACKLET"), "pedestrian-tracklet-saving")
     return routing.complete_outputs(arrived, ["user_plan", "task", "dest_ports"]).select(
         "event_id", "task", "user_plan"
     )
@@ -265,14 +265,14 @@ def port_filter(t: Tables) -> DataFrame:
 
 @query
 def drop_cancelled(t: Tables) -> DataFrame:
-    m = t.messages()
-    kept = routing.drop_cancelled(m.where(F.col("topic") != "TERM_SIG"), m.where(F.col("topic") == "TERM_SIG"))
+    others = [topic for topic in TOPIC_OF.values() if topic != "TERM_SIG"]
+    kept = routing.drop_cancelled(t.messages(*others), t.messages("TERM_SIG"))
     return kept.select("event_id", "task", "topic")
 
 
 @query
 def recent_signals(t: Tables) -> DataFrame:
-    return W.recent_signals(t.messages().where(F.col("topic") == "TERM_SIG"))
+    return W.recent_signals(t.messages("TERM_SIG"))
 
 
 @query
@@ -313,8 +313,7 @@ def entry_ports(t: Tables) -> DataFrame:
 
 @query
 def plan_merge(t: Tables) -> DataFrame:
-    m = t.messages().where(F.col("topic").isin("TRACKLET", "ATTRIBUTES"))
-    nodes = m.select(
+    nodes = t.messages("TRACKLET", "ATTRIBUTES").select(
         F.concat("task", F.lit("-"), "serial").alias("plan"),
         "k",
         F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(4)])).alias("node"),
@@ -370,7 +369,7 @@ def joined_union(t: Tables) -> DataFrame:
         "executed": (F.col("left_k") % 2 == 1) | (F.col("right_k") % 3 == 1),
         "user_plan": F.col("left_plan"),
     })
-    ready = t.messages().where(F.col("topic") == "TRACKLET_ATTR").select(
+    ready = t.messages("TRACKLET_ATTR").select(
         "task",
         "serial",
         F.col("event_id").alias("left_id"),
@@ -498,6 +497,12 @@ def topk_similar(t: Tables) -> DataFrame:
     return top.select("probe", "rank", "id", F.round("sim", 6).alias("sim"))
 
 
+@query
+def id_ranks(t: Tables) -> DataFrame:
+    lists = similarity.rank_lists(similarity.topk_similar(t.features(), t.features(), k=10))
+    return lists.select("probe", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
 # ---- sets, upserts, lookups, similarity ----------------------------------
 
 
@@ -618,3 +623,24 @@ def scores_hook(t: Tables) -> DataFrame:
     boxes = _kept(t).select("entity", "idx", "x", "y", "w", "h")
     scored = scoring.score_batches(boxes, scoring.stand_in_recognizer(names), schema, "stand-in-8")
     return G.mean_scores(scored, names)
+
+
+@query
+def tracks_hook(t: Tables) -> DataFrame:
+    """Entities of every video from a stand-in tracker: one row in, many out."""
+    return scoring.score_batches(t.videos(), scoring.stand_in_tracker(), scoring.TRACKS, "stand-in-tracker")
+
+
+@query
+def features_hook(t: Tables) -> DataFrame:
+    """A feature of every sampled box from a stand-in network."""
+    boxes = _kept(t).select("entity", "idx", "x", "y", "w", "h")
+    schema = "entity long, idx long, vec array<float>"
+    made = scoring.score_batches(boxes, scoring.stand_in_extracter(), schema, "stand-in-128")
+    return made.select(
+        "entity",
+        "idx",
+        F.size("vec").cast("bigint").alias("n_floats"),
+        F.get("vec", F.lit(0)).cast("double").alias("first"),
+        F.element_at("vec", -1).cast("double").alias("last"),
+    )

@@ -441,6 +441,14 @@ _SELECT = {
                               round(list_cosine_similarity(p.vec::double[], g.vec::double[]), 9) as sim
                        from feature p join feature g on p.id <> g.id)) where rank <= 10""",
     ),
+    "id_ranks": (
+        "feature",
+        """select probe, string_agg(cast(id as varchar), ',' order by rank) as ids
+           from (select *, row_number() over (partition by probe order by sim desc, id) as rank
+                 from (select p.id as probe, g.id as id,
+                              round(list_cosine_similarity(p.vec::double[], g.vec::double[]), 9) as sim
+                       from feature p join feature g on p.id <> g.id)) where rank <= 10 group by probe""",
+    ),
     "free_devices": (
         "event_k report",
         """select distinct node, device from report
@@ -481,6 +489,20 @@ _SELECT = {
            from (select distinct l_partkey as src, l_suppkey as dst from lineitem)
            join means a on a.entity = src join means b on b.entity = dst""",
     ),
+    "tracks_hook": (
+        "entity",
+        """select video, serial, num, 1 + (mark * 31 + serial * 17) % 10000 as start_frame,
+                  1 + (mark + serial * 7) % 31 as n_boxes
+           from (select *, 3 + mark % 30 as num
+                 from (select distinct video, cast(split_part(video, '-', 2) as bigint) % 97 as mark from entity)),
+                range(32) as r(serial) where serial < num""",
+    ),
+    "features_hook": (
+        "box patched kept",
+        """select entity, idx, cast(128 as bigint) as n_floats,
+                  (x * 31 + y * 17 + w * 7 + h * 3) % 256 / 256.0::double as first,
+                  (x * 31 + y * 17 + w * 7 + h * 3 + 127) % 256 / 256.0::double as last from kept""",
+    ),
     "scores_hook": (
         "box patched kept",
         "select entity, count(*) as n_samples, "

@@ -58,9 +58,14 @@ class Tables:
         return self._once(name, lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def events(self) -> DataFrame:
-        return self.read("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
-
-    def messages(self) -> DataFrame:
+        k = F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0))
+        return self.read("events").withColumn("k", k)
+
+    def messages(self, *topics: str) -> DataFrame:
+        """All messages, or those of some topics; the filter is on a stored column and reaches the scan."""
+        events = self.events()
+        if topics:
+            events = events.where(F.col("event_type").isin([e for e, t in TOPIC_OF.items() if t in topics]))
         topic = _lookup(F.col("event_type"), TOPIC_OF)
         by_topic = {t: [p for p, read in PORTS.items() if read == t] for t in TOPIC_OF.values()}
         ports = None
@@ -68,7 +73,7 @@ class Tables:
             ports_of = F.array(*[F.lit(n) for n in names]) if names else F.expr("cast(array() as array<string>)")
             ports = F.when(topic == t, ports_of) if ports is None else ports.when(topic == t, ports_of)
         addressed = F.filter(ports, lambda p, i: F.call_function("shiftright", F.col("k"), i) % 2 == 1)
-        return self.events().select(
+        return events.select(
             "event_id",
             "ts",
             F.col("user_id").cast("string").alias("task"),
@@ -84,8 +89,7 @@ class Tables:
 
     def side(self, topic: str, name: str) -> DataFrame:
         """Messages of one topic as one side of a join."""
-        m = self.messages().where(F.col("topic") == topic)
-        return m.select(
+        return self.messages(topic).select(
             "task",
             "serial",
             F.col("event_id").alias(f"{name}_id"),
@@ -99,7 +103,7 @@ class Tables:
         cam = F.concat(F.lit("/videos/CAM0"), F.col("event_id") % 6 + 1)
         week = F.date_add(F.lit("1994-12-26").cast("date"), (F.col("event_id") % 344 * 7).cast("int"))
         day = F.concat_ws("/", cam, F.date_format(week, "yyyy-MM-dd"))
-        return self.messages().where(F.col("topic") == "COMMAND").select(
+        return self.messages("COMMAND").select(
             F.col("event_id").alias("command_id"),
             F.get(names, F.col("event_id") % len(COMMAND_NAMES)).alias("command"),
             F.when(F.col("event_id") % 97 == 0, F.concat(cam, F.lit("/"))).otherwise(day).alias("target"),

@@ -115,6 +115,15 @@ MESSAGE = T.StructType([
 
 ATTRIBUTE_ROW = T.StructType([T.StructField(name, T.FloatType()) for name in ATTRS])
 
+# Result of a detector on one frame.
+DETECTIONS = T.ArrayType(T.StructType([
+    T.StructField("x", T.IntegerType()),
+    T.StructField("y", T.IntegerType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("height", T.IntegerType()),
+    T.StructField("score", T.FloatType()),
+]))
+
 DEVICE = T.StructType([
     T.StructField("index", T.IntegerType()),
     T.StructField("fanSpeed", T.IntegerType()),
