@@ -55,14 +55,22 @@ def mean_abs_diff(a: Column, b: Column) -> Column:
 
 @F.pandas_udf(T.BinaryType())
 def pack_floats(vectors: pd.Series) -> pd.Series:
-    """float array -> big-endian 4-byte floats."""
-    return vectors.map(lambda v: None if v is None else np.asarray(v, dtype=">f4").tobytes())
+    """float array -> big-endian 4-byte floats; a batch is converted at once and cut up."""
+    held = vectors[vectors.notna()]
+    ends = held.map(len).cumsum() * 4
+    flat = np.concatenate([*held, np.empty(0, "float32")]).astype(">f4").tobytes()
+    cut = [flat[lo:hi] for lo, hi in zip([0, *ends[:-1]], ends)]
+    return pd.Series(cut, index=held.index, dtype=object).reindex(vectors.index).replace({np.nan: None})
 
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def unpack_floats(blobs: pd.Series) -> pd.Series:
-    """Big-endian 4-byte floats -> float array."""
-    return blobs.map(lambda b: None if b is None else np.frombuffer(bytes(b), dtype=">f4").astype("float32"))
+    """Big-endian 4-byte floats -> float array; a batch is converted at once and cut up."""
+    held = blobs[blobs.notna()]
+    ends = (held.map(len) // 4).cumsum()
+    flat = np.frombuffer(b"".join(held), dtype=">f4").astype("float32")
+    cut = [flat[lo:hi] for lo, hi in zip([0, *ends[:-1]], ends)]
+    return pd.Series(cut, index=held.index, dtype=object).reindex(blobs.index).replace({np.nan: None})
 
 
 def encode_feature(vec: Column) -> Column:

@@ -17,8 +17,8 @@ from sightline.operators.ranking import top_per_key
 # Probes up to this size go to every task; beyond it blocks of both sides meet.
 BROADCAST_BYTES = 8 << 20
 
-# Rows of one block, and the size of the similarity matrix held at a time.
-BLOCK_ROWS = 20_000
+# Size of one block of vectors, and of the similarity matrix held at a time.
+BLOCK_BYTES = 64 << 20
 TILE_CELLS = 4_000_000
 
 # Similarities that agree to this many decimals count as equal.
@@ -73,7 +73,7 @@ def topk_similar(
     k: int = 10,
     skip_self: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``k`` rows of ``gallery`` most similar to each probe, exactly; both are (id, vec).
 
@@ -82,18 +82,20 @@ def topk_similar(
     known size. Either way a task multiplies matrices and passes on ``k`` rows
     per probe, never the pairs. Vectors without a direction match nothing.
     """
-    found = _topk_broadcast(probes, gallery, k, skip_self, broadcast_bytes)
-    if found is None:
-        found = _topk_blocks(probes, gallery, k, skip_self, block_rows)
+    size = _vector_bytes(probes)
+    if size <= broadcast_bytes:
+        found = _topk_broadcast(probes, gallery, k, skip_self)
+    else:
+        found = _topk_blocks(probes, gallery, k, skip_self, max(1, math.ceil(size / block_bytes)), block_bytes)
     return top_per_key(found, ["probe"], [F.desc("sim"), F.asc("id")], k)
 
 
-def _topk_broadcast(probes, gallery, k, skip_self, limit):
-    size = probes.agg(
-        F.count(F.lit(1)).alias("rows"), (F.sum(F.size("vec")) * 8).alias("bytes")
-    ).first()
-    if (size["bytes"] or 0) > limit:
-        return None
+def _vector_bytes(vectors: DataFrame) -> int:
+    """Bytes of all vectors as doubles."""
+    return vectors.agg(F.sum(F.size("vec").cast("bigint")) * 8).first()[0] or 0
+
+
+def _topk_broadcast(probes, gallery, k, skip_self):
     held = probes.select("id", "vec").toPandas()
     shared = probes.sparkSession.sparkContext.broadcast(
         (held["id"].to_numpy("int64"), _unit(held["vec"]))
@@ -110,9 +112,8 @@ def _topk_broadcast(probes, gallery, k, skip_self, limit):
     return gallery.select("id", "vec").mapInPandas(run, CANDIDATE)
 
 
-def _topk_blocks(probes, gallery, k, skip_self, block_rows):
-    n_p = max(1, math.ceil(probes.count() / block_rows))
-    n_g = max(1, math.ceil(gallery.count() / block_rows))
+def _topk_blocks(probes, gallery, k, skip_self, n_p, block_bytes):
+    n_g = max(1, math.ceil(_vector_bytes(gallery) / block_bytes))
 
     def blocks(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         return df.select(

@@ -89,17 +89,26 @@ _START_NODE = {
 }
 
 
+def _constant(spark: SparkSession, columns: str, rows) -> DataFrame:
+    """A table held in the plan itself, so that Spark knows how small it is."""
+    def cell(v):
+        return "cast(null as string)" if v is None else f"'{v}'"
+
+    values = ", ".join("(" + ", ".join(map(cell, row)) + ")" for row in rows)
+    return spark.sql(f"select * from values {values} as t({columns})")
+
+
 def command_table(spark: SparkSession) -> DataFrame:
     """Known commands, whether they run, and the stored input they start on."""
     rows = [(c, "handled", level) for c, (level, _, _) in COMMANDS.items()]
     rows += [(c, "not implemented", None) for c in NOT_IMPLEMENTED]
-    return spark.createDataFrame(rows, "command string, status string, input string")
+    return _constant(spark, "command, status, input", rows)
 
 
 def entry_table(spark: SparkSession) -> DataFrame:
     """Ports at which a command's tasks enter its plan."""
     rows = [(c, _START_NODE[p], p) for c, (_, ports, _) in COMMANDS.items() for p in ports]
-    return spark.createDataFrame(rows, "command string, node string, port string")
+    return _constant(spark, "command, node, port", rows)
 
 
 def edge_table(spark: SparkSession) -> DataFrame:
@@ -109,7 +118,7 @@ def edge_table(spark: SparkSession) -> DataFrame:
         for edge in edges.split():
             src, dst = edge.split(">")
             rows.append((command, src, dst, NODE_OUTPUT[src], EDGE_PORT[src, dst]))
-    return spark.createDataFrame(rows, "command string, src string, dst string, output_type string, port string")
+    return _constant(spark, "command, src, dst, output_type, port", rows)
 
 
 def node_table(spark: SparkSession) -> DataFrame:
@@ -118,7 +127,7 @@ def node_table(spark: SparkSession) -> DataFrame:
     for command, (_, ports, edges) in COMMANDS.items():
         nodes = {_START_NODE[p] for p in ports} | {n for e in edges.split() for n in e.split(">")}
         rows += [(command, n, NODE_OUTPUT[n]) for n in NODE_OUTPUT if n in nodes]
-    return spark.createDataFrame(rows, "command string, node string, output_type string")
+    return _constant(spark, "command, node, output_type", rows)
 
 
 def check_commands(commands: DataFrame) -> DataFrame:
