@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.session import ensure_checkpoint_dir
+from sightline.session import kept
 
 # A window sorts and spills this many rows of one key without trouble; a key
 # with more is numbered over many tasks.
@@ -50,8 +50,7 @@ def number_rows(
     if hot.isEmpty():
         return _number_small(df, keys, order, index, total)
     # Fixed on disk, so that both sides of the split see the same keys.
-    ensure_checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint()
+    hot = kept(hot)
     match = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
     small = df.alias("d").join(hot.alias("h"), match, "left_anti")
     large = df.alias("d").join(hot.alias("h"), match, "left_semi")
@@ -71,7 +70,7 @@ def _number_small(df, keys, order, index, total):
 def _number_large(df, keys, order, index, total):
     part, base = f"_{index}_part", f"_{index}_base"
     # The range bounds come from a sample, so the cut is made once and kept.
-    ranged = df.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()).checkpoint()
+    ranged = kept(df.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()))
     by_key = Window.partitionBy(*keys)
     before = by_key.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("_n")).select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,13 @@ def score_batches(
     return df.mapInPandas(run, schema)
 
 
-def stand_in_recognizer(names: list[str]) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+def _with_keys(boxes: pd.DataFrame, keys: Sequence[str], scores: pd.DataFrame) -> pd.DataFrame:
+    return pd.concat([boxes[list(keys)].reset_index(drop=True), scores], axis=1)
+
+
+def stand_in_recognizer(
+    names: Sequence[str], keys: Sequence[str] = ("entity", "idx")
+) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
     """Repeatable stand-in for an attribute network: whole scores 0..999 from the box alone."""
 
     def build():
@@ -45,27 +51,20 @@ def stand_in_recognizer(names: list[str]) -> Callable[[], Callable[[pd.DataFrame
         def score(boxes: pd.DataFrame) -> pd.DataFrame:
             base = (boxes.x * 31 + boxes.y * 17 + boxes.w * 7 + boxes.h * 3).to_numpy("int64")
             scores = (base[:, None] + steps[None, :]) % 1000
-            out = pd.DataFrame(scores.astype("float64"), columns=names)
-            out.insert(0, "entity", boxes.entity.to_numpy())
-            out.insert(1, "idx", boxes.idx.to_numpy())
-            return out
+            return _with_keys(boxes, keys, pd.DataFrame(scores.astype("float64"), columns=list(names)))
 
         return score
 
     return build
 
 
-def zero_recognizer(names: list[str]) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+def zero_recognizer(
+    names: Sequence[str], keys: Sequence[str] = ("entity", "idx")
+) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
     """Stand-in that scores every attribute 0."""
 
     def build():
-        def score(boxes: pd.DataFrame) -> pd.DataFrame:
-            out = pd.DataFrame(0.0, index=range(len(boxes)), columns=names)
-            out.insert(0, "entity", boxes.entity.to_numpy())
-            out.insert(1, "idx", boxes.idx.to_numpy())
-            return out
-
-        return score
+        return lambda boxes: _with_keys(boxes, keys, pd.DataFrame(0.0, index=range(len(boxes)), columns=list(names)))
 
     return build
 

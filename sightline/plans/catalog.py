@@ -18,6 +18,7 @@ from sightline.operators import ranking as W
 from sightline.operators import reports, routing, scoring, similarity, timetree
 from sightline.operators import sequences as S
 from sightline.plans import commands as C
+from sightline.plans import flow
 from sightline.plans.tables import TOPIC_OF, Tables
 from sightline.schema import ATTRS
 
@@ -644,3 +645,36 @@ def features_hook(t: Tables) -> DataFrame:
         F.get("vec", F.lit(0)).cast("double").alias("first"),
         F.element_at("vec", -1).cast("double").alias("last"),
     )
+
+
+def _tracked_boxes(videos: DataFrame) -> DataFrame:
+    """Stand-in tracker whose entities carry their boxes."""
+    found = scoring.score_batches(videos, scoring.stand_in_tracker(), scoring.TRACKS, "stand-in-tracker")
+    place = lambda i: F.struct(
+        i.alias("x"), (i * 2).alias("y"), F.lit(3).alias("w"), (i + 1).alias("h"), F.lit(b"p").alias("patch")
+    )
+    positions = F.sequence(F.lit(0).cast("bigint"), F.col("n_boxes") - 1)
+    return found.withColumn("boxes", F.transform(positions, place)).drop("n_boxes")
+
+
+@query
+def command_flow(t: Tables) -> DataFrame:
+    """What all commands store: tracking, sampling, scoring and upsert in one plan."""
+    names = list(ATTRS[:4])
+    updates = flow.entity_updates(
+        t.commands(),
+        t.files(),
+        tracker=_tracked_boxes,
+        recognizer=scoring.stand_in_recognizer(names, E.KEYS),
+        names=names,
+        model="stand-in-flow",
+        date="2018-05-09",
+    )
+    stored = E.merge_groups([updates], ["track", "attr"])
+    return stored.select(
+        *E.KEYS,
+        "track.path",
+        "track.start_time",
+        "track.num",
+        *[F.coalesce(f"attr.{n}", F.lit(-1.0)).alias(n) for n in names],
+    )

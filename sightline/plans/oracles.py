@@ -503,6 +503,33 @@ _SELECT = {
                   (x * 31 + y * 17 + w * 7 + h * 3) % 256 / 256.0::double as first,
                   (x * 31 + y * 17 + w * 7 + h * 3 + 127) % 256 / 256.0::double as last from kept""",
     ),
+    "command_flow": (
+        "event_k message command known edge entity file task",
+        f"""select e.video || '_tarid' || serial as entity_id, e.command as data_type,
+                   '/meta/result/ssd/2018-05-09/' || e.video || '/' || task || '/' || serial as path,
+                   strftime(strptime(split_part(e.video, '-', 2), {STAMP}) + to_seconds(start_frame * 2 // 25), {STAMP})
+                   as start_time, num, """
+        + ", ".join(
+            f"""case when e.command in (select command from edge where src = 'track' and dst = 'attr')
+                      and e.command in (select command from edge where src = 'attr' and dst = 'save_attr')
+                     then cast(s{i} as double) / n_kept else -1 end as {a}"""
+            for i, a in enumerate(ATTRS[:4])
+        )
+        + f""" from (select command, video, arg_max(task, command_id) as task from task
+                     where input = 'video' and command like 'track%' group by command, video) e
+               join (select *, 3 + mark % 30 as num, 1 + (mark * 31 + serial * 17) % 10000 as start_frame,
+                            1 + (mark + serial * 7) % 31 as n_boxes
+                     from (select distinct video, cast(split_part(video, '-', 2) as bigint) % 97 as mark from entity),
+                          range(32) as r(serial) where serial < 3 + mark % 30) v on e.video = v.video
+               join (select n, count(*) as n_kept, """
+        + ", ".join(
+            f"cast(sum((idx * 31 + idx * 2 * 17 + 21 + (idx + 1) * 3 + {i * 13}) % 1000) as bigint) as s{i}"
+            for i in range(4)
+        )
+        + f""" from (select idx, n from range(32) as a(n), range(32) as b(idx) where idx < n)
+               where {_keeps(5)} group by n) k on k.n = v.n_boxes
+           where e.command in (select command from edge where src = 'track' and dst = 'save_track')""",
+    ),
     "scores_hook": (
         "box patched kept",
         "select entity, count(*) as n_samples, "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every operator assumes. Shuffle partitions are left to the
 # caller: AQE coalesces them, so a cluster should start high.
@@ -50,3 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="sightline-checkpoint-")
     context.setCheckpointDir(named)
     return named
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` computed once and stored, for results that are dear or must not change."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
