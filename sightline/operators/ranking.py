@@ -17,19 +17,27 @@ HOT_ROWS = 10_000_000
 PROBE_HITS = 10_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def _probe(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, int]:
+    """Keys of a sample of rows, and the count in the sample above which a key is hot."""
+    fraction = min(1.0, PROBE_HITS / hot_rows)
+    if fraction == 1.0:
+        return df.select(*keys), hot_rows
+    return df.select(*keys).sample(fraction=fraction, seed=7), PROBE_HITS // 2
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys that hold more than about ``hot_rows`` rows: at most 2 * rows / hot_rows of them.
 
     Reads only the key columns, and counts a sample of them when the limit is
     high enough for the sample to decide. A wrong guess costs time, never rows.
+    None when the whole sample is too small for a hot key, or no key is hot.
     """
-    fraction = min(1.0, PROBE_HITS / hot_rows)
-    probe = df.select(*keys)
-    limit = hot_rows
-    if fraction < 1.0:
-        probe = probe.sample(fraction=fraction, seed=7)
-        limit = hot_rows * fraction / 2
-    return probe.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
+    probe, limit = _probe(df, keys, hot_rows)
+    # Stops reading as soon as there are enough rows.
+    if len(probe.take(limit + 1)) <= limit:
+        return None
+    hot = probe.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
+    return None if hot.isEmpty() else hot
 
 
 def number_rows(
@@ -47,7 +55,7 @@ def number_rows(
     the size of the ranges before them.
     """
     hot = hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
+    if hot is None:
         return _number_small(df, keys, order, index, total)
     # Fixed on disk, so that both sides of the split see the same keys.
     hot = kept(hot)
