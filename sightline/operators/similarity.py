@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.names import time_key
-from sightline.functions.vectors import dot, mean_abs_diff
+from sightline.functions.vectors import dot
 from sightline.operators.ranking import top_per_key
 
 # Probes up to this size go to every task; beyond it blocks of both sides meet.
@@ -164,11 +164,11 @@ def pair_similarity(pairs: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def attr_distance(pairs: DataFrame, scores: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distance of given pairs by their attribute scores."""
-    rows = scores.select("id", F.array(*columns).alias("vec"))
-    return _without_ends(
-        _with_ends(pairs, rows, "vec").withColumn("distance", mean_abs_diff(F.col("_a_vec"), F.col("_b_vec")))
-    )
+    """Mean absolute difference of the attribute scores of given pairs, over plain columns."""
+    total = F.lit(0.0)
+    for c in columns:
+        total = total + F.abs(F.col(f"_a_{c}") - F.col(f"_b_{c}"))
+    return _without_ends(_with_ends(pairs, scores, *columns).withColumn("distance", total / len(columns)))
 
 
 def sim_by_bucket(pairs: DataFrame, times: DataFrame) -> DataFrame:

@@ -32,9 +32,10 @@ def time_bucket_join(
     with the range as a condition, so no entity meets a bucket of another hour.
     An edge is created once. Entities outside every bucket get none.
     """
-    # Never null, so that Spark does not compute the time again for a null check.
+    # Neither is ever null, so that Spark does not compute the time again for null checks.
     packed = entities.select(*keys, F.coalesce(F.col(time).try_cast("bigint"), F.lit(-1)).alias("_t"))
-    placed = packed.withColumn("hour_key", int_div(F.col("_t"), 10_000)).join(
+    hour = F.coalesce(int_div(F.col("_t"), 10_000), F.lit(-1))
+    placed = packed.withColumn("hour_key", hour).join(
         buckets.select("hour_key", "bucket_start", "bucket_end"), "hour_key"
     ).where(
         (F.col("bucket_start") * 100 <= F.col("_t")) & (F.col("_t") <= F.col("bucket_end") * 100 + 59)
