@@ -4,9 +4,11 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sightline.functions.names import start_time
 from sightline.operators import joins as J
+from sightline.operators import routing
 from sightline.sources import messages as M
 from sightline.sources import upserts
 from sightline.streaming import joins as SJ
@@ -186,6 +188,29 @@ def test_savers_share_a_batch_and_repeat_safely(spark, tmp_path):
     assert [tuple(r) for r in after.select("track.path", "attr.s1").collect()] == [("/z", 0.5)]
 
 
+def test_topics_of_one_stream(spark, tmp_path):
+    """One reading of a stream, typed and saved topic by topic."""
+    schema = "topic string, task string, event_id long, serial long, ts timestamp, payload string"
+    rows = [
+        [("TRACKLET", "t1", 1, 0, _at(0), '{"k": 5}'), ("URL", "t1", 2, 0, _at(0), None)],
+        [("ATTRIBUTES", "t2", 3, 0, _at(1), '{"s": 0.5}'), ("TRACKLET", "t2", 4, 0, _at(1), "no json")],
+    ]
+    _feed(spark, str(tmp_path), rows, schema)
+    stream = M.spread(M.read_files(spark, f"{tmp_path}/in", topics=["TRACKLET", "ATTRIBUTES"], max_per_trigger=1), 0)
+    bodies = {"TRACKLET": StructType().add("k", "long"), "ATTRIBUTES": StructType().add("s", "double")}
+
+    def save_topic(topic):
+        target = savers.append_saver(str(tmp_path / topic))
+        return lambda batch, n: target(routing.topic_split(batch, bodies)[topic], n)
+
+    query = run.start(stream, str(tmp_path / "cp"), run.save_all(*map(save_topic, bodies)), interval=None)
+    query.awaitTermination()
+    tracks = spark.read.parquet(str(tmp_path / "TRACKLET")).select("event_id", "payload.k").collect()
+    assert sorted(map(tuple, tracks)) == [(1, 5), (4, None)]
+    scores = spark.read.parquet(str(tmp_path / "ATTRIBUTES")).select("event_id", "payload.s").collect()
+    assert [tuple(r) for r in scores] == [(3, 0.5)]
+
+
 def test_streamed_start_time(spark, tmp_path):
     """Column functions serve streams as they are."""
     stream = _feed(spark, str(tmp_path), [[("20131220184349", 3495)]], "start string, frame long")
