@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import mixing, ring, warc
+from sightline.llm import chat, licences, mixing, oracles, ring, topk, urls, warc
 from sightline.llm.common import table
 
 
@@ -23,9 +23,48 @@ def op5_mix_flow(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(table(spark, folder, "documents"))
 
 
+def op4_licence_digests(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
+def op6_url_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages")).drop("alias_of")
+
+
+def op9_topk_terms(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.nearest_vectors(table(spark, folder, "embeddings"))
+
+
+# A conversation whose texts look like turn marks.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op10_chat_events(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    return chat.format_conversations(turns.unionByName(said))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_bundles, op3_ring_shards, op5_mix_flow)}
+    """The registered queries by name."""
+    registered = (
+        op1_warc_bundles,
+        op3_ring_shards,
+        op4_licence_digests,
+        op5_mix_flow,
+        op6_url_aliases,
+        op9_topk_terms,
+        op10_chat_events,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL for the queries that SQL can express."""
+    return oracles.oracle_sql()

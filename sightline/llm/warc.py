@@ -288,5 +288,5 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to new bundles in the shared folder and read every record back."""
     index = write_bundles(pages, shared_path(pages.sparkSession, "warc"))
     return read_records(index, payloads=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
