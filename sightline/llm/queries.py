@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import chat, licences, mixing, oracles, ring, topk, urls, warc
+from sightline.llm import chat, language, licences, mixing, oracles, ring, topk, urls, warc
 from sightline.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, folder, "pages"))
 
 
+def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return language.documents_languages(table(spark, folder, "documents"))
+
+
 def op3_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     return ring.shard_documents(table(spark, folder, "documents"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     registered = (
         op1_warc_bundles,
+        op2_language_mixture,
         op3_ring_shards,
         op4_licence_digests,
         op5_mix_flow,
