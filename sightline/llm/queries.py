@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import chat, language, licences, mixing, oracles, ring, topk, urls, warc
+from sightline.llm import chat, contamination, language, licences, mixing, oracles, ring, topk, urls, warc
 from sightline.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op6_url_aliases(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages")).drop("alias_of")
 
 
+def op7_leaks_by_edits(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_topk_terms(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest_vectors(table(spark, folder, "embeddings"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_licence_digests,
         op5_mix_flow,
         op6_url_aliases,
+        op7_leaks_by_edits,
         op9_topk_terms,
         op10_chat_events,
     )
