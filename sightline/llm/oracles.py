@@ -37,6 +37,25 @@ SELECT page_id, host, path,
 FROM u
 """
 
+NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(t) - 3, least(len(t), 1)) + 1),
+    lambda i: array_to_string(t[i : i + 3], ' ')))) AS g FROM w
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id,
+  d.doc_id = min(r.root) AS kept
+FROM documents d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
 TOPK = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS t FROM embeddings
@@ -109,6 +128,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_warc_bundles": WARC,
         "op4_licence_digests": _licences(),
         "op6_url_aliases": URLS,
+        "op8_minhash_bayes": NEAR,
         "op9_topk_terms": TOPK,
         "op10_chat_events": CHAT,
     }

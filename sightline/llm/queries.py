@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import chat, contamination, language, licences, mixing, oracles, ring, topk, urls, warc
+from sightline.llm import chat, contamination, language, licences, mixing, neardup, oracles, ring, topk, urls, warc
 from sightline.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op7_leaks_by_edits(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), words=4)
+
+
 def op9_topk_terms(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest_vectors(table(spark, folder, "embeddings"))
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_mix_flow,
         op6_url_aliases,
         op7_leaks_by_edits,
+        op8_minhash_bayes,
         op9_topk_terms,
         op10_chat_events,
     )
