@@ -9,7 +9,8 @@ their full sets.
 
 A bucket of a band is never expanded into its pairs. First each member meets
 the bucket's smallest member, which joins most groups. What is still apart in
-a bucket is then compared in blocks of bounded size.
+a bucket is then compared in blocks of bounded size, whose pairs never leave
+their task: only links do, one for each two components at most.
 """
 
 from __future__ import annotations
@@ -50,9 +51,6 @@ AT_ONCE = 8192
 # Ids that are sent to every task: 8 bytes each.
 BROADCAST_IDS = 500_000
 
-# Candidates that a member offers to each other component in a block, round by round; at last all.
-ROUNDS = (1, 16, None)
-
 SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, checks binary"
 PAIR = "a long, b long"
 
@@ -224,13 +222,17 @@ def _narrowed(rows: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
     return rows.join(F.broadcast(own) if few else own, key, how)
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with the given ids; rows that are repeated count once."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = _narrowed(texts, "doc_id", ids, "left_semi")
+    once = texts.groupBy("doc_id", F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text"))
+    return once.select("doc_id", "text")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough."""
-    needed = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = _narrowed(texts, "doc_id", needed, "left_semi")
-    # Rows that are repeated count once.
-    texts = texts.groupBy("doc_id", F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text"))
+    texts = texts_of(docs, kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -300,65 +302,125 @@ def _blocks(members: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFr
     return dealt.join(classes.select("rep", "n_shingles", "checks"), "rep")
 
 
-def block_pairs(dealt: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Pairs (a, b) of different components in one block that the sequential comparison doesn't give up.
+def _block_of(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    return {
+        "key": rows["block"].to_numpy(),
+        "comp": rows["comp"].to_numpy(),
+        "n": rows["n_shingles"].to_numpy(),
+        "checks": np.frombuffer(b"".join(rows["checks"]), dtype="uint16").reshape(-1, CHECKS),
+    }
 
-    Of each member's pairs with another component the ``most`` likely ones.
-    """
-    limits = least_matches(percent)
 
-    def pairs_of(rows: dict[str, np.ndarray]) -> pd.DataFrame:
-        key, found = rows["key"], []
-        for step in range(1, len(key)):
-            at = np.flatnonzero(key[:-step] == key[step:])
-            if len(at) == 0:
-                break
-            at = at[rows["comp"][at] != rows["comp"][at + step]]
-            at = at[_sizes_fit(rows["n"][at], rows["n"][at + step], percent)]
-            alive, matches = surviving(rows["checks"][at], rows["checks"][at + step], limits)
-            at = at[alive]
-            ends = np.stack([at, at + step], axis=1)
-            low, high = ends[:, 0], ends[:, 1]
-            swap = rows["rep"][low] > rows["rep"][high]
-            low, high = np.where(swap, high, low), np.where(swap, low, high)
-            found.append(
-                pd.DataFrame({
-                    "a": rows["rep"][low], "b": rows["rep"][high], "comp": rows["comp"][low],
-                    "key": key[at], "matches": matches,
-                })
-            )
-        out = pd.concat(found, ignore_index=True) if found else pd.DataFrame(columns=["a", "b"])
-        if most is not None and len(out):
-            out = out.sort_values(["key", "b", "comp", "matches", "a"], ascending=[True, True, True, False, True])
-            out = out.groupby(["key", "b", "comp"], sort=False).head(most)
-        return out[["a", "b"]].astype("int64").drop_duplicates()
+def _apart(rows: dict[str, np.ndarray], percent: int, limits: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (low, high) and matches of the pairs of different components in one block that may be similar."""
+    key, found = rows["key"], [np.zeros((3, 0), dtype="int64")]
+    for step in range(1, len(key)):
+        at = np.flatnonzero(key[:-step] == key[step:])
+        if len(at) == 0:
+            break
+        at = at[rows["comp"][at] != rows["comp"][at + step]]
+        at = at[_sizes_fit(rows["n"][at], rows["n"][at + step], percent)]
+        alive, matches = surviving(rows["checks"][at], rows["checks"][at + step], limits)
+        found.append(np.stack([at[alive], at[alive] + step, matches]))
+    low, high, matches = np.concatenate(found, axis=1)
+    return low, high, matches
+
+
+def _by_block(batches: Iterator[pd.DataFrame], at_once: int) -> Iterator[pd.DataFrame]:
+    """Rows that come sorted by block, regrouped so that no block is cut."""
+    waiting: list[pd.DataFrame] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(map(len, waiting)) >= at_once:
+            rows = pd.concat(waiting, ignore_index=True)
+            last = rows["block"].to_numpy() == rows["block"].iloc[-1]
+            yield rows[~last]
+            waiting = [rows[last]]
+    if waiting:
+        yield pd.concat(waiting, ignore_index=True)
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("block").sortWithinPartitions("block")
+
+
+def block_members(dealt: DataFrame, percent: int) -> DataFrame:
+    """The rows of the blocks that are in some pair which the sequential comparison doesn't give up."""
+    limits = least_matches(percent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
-        for batch in batches:
-            waiting.append(batch)
-            if sum(map(len, waiting)) >= AT_ONCE:
-                rows = pd.concat(waiting, ignore_index=True)
-                # The last block may go on in the next batch.
-                last = rows["block"].to_numpy() == rows["block"].iloc[-1]
-                yield pairs_of(arrays(rows[~last]))
-                waiting = [rows[last]]
-        if waiting:
-            yield pairs_of(arrays(pd.concat(waiting, ignore_index=True)))
-
-    def arrays(part: pd.DataFrame) -> dict[str, np.ndarray]:
-        return {
-            "key": part["block"].to_numpy(),
-            "rep": part["rep"].to_numpy(),
-            "comp": part["comp"].to_numpy(),
-            "n": part["n_shingles"].to_numpy(),
-            "checks": np.frombuffer(b"".join(part["checks"]), dtype="uint16").reshape(-1, CHECKS),
-        }
+        for rows in _by_block(batches, AT_ONCE):
+            if len(rows):
+                low, high, _ = _apart(_block_of(rows), percent, limits)
+                yield rows.iloc[np.unique(np.concatenate([low, high]))]
 
     # Two blocks under one hash would only be compared with each other as well.
     rows = dealt.select(F.xxhash64("bucket", "at").alias("block"), "rep", "comp", "n_shingles", "checks")
-    rows = rows.repartition("block").sortWithinPartitions("block")
-    return rows.mapInPandas(run, PAIR).distinct()
+    return _together(rows).mapInPandas(run, "block long, rep long, comp long, n_shingles long, checks binary")
+
+
+class _Links:
+    """Joins the components of one lot of blocks by links that hold on the full sets."""
+
+    def __init__(self, reps: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int):
+        self.reps, self.comps, self.sets, self.percent = reps, comps, sets, percent
+        self.root = {c: c for c in comps.tolist()}
+        self.found: list[tuple[int, int]] = []
+
+    def comp(self, place: int) -> int:
+        c = self.comps[place].item()
+        while self.root[c] != c:
+            c = self.root[c]
+        return c
+
+    def try_all(self, place: int, others: list[int]) -> None:
+        """Link a row to the others that are similar enough and still apart from it."""
+        own = self.sets[place]
+        sizes = np.array([len(self.sets[o]) for o in others])
+        joined = np.concatenate([self.sets[o] for o in others])
+        at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+        common = np.add.reduceat(own[at] == joined, np.cumsum(sizes) - sizes, dtype="int64")
+        similar = 100 * common >= self.percent * (len(own) + sizes - common)
+        for other in np.array(others)[similar].tolist():
+            a, b = self.comp(place), self.comp(other)
+            if a != b:
+                self.root[max(a, b)] = min(a, b)
+                self.found.append((self.reps[place].item(), self.reps[other].item()))
+
+    def run(self, low: np.ndarray, high: np.ndarray, matches: np.ndarray) -> list[tuple[int, int]]:
+        order = np.lexsort((high, -matches, low))
+        low, high = low[order], high[order]
+        cuts = np.flatnonzero(np.diff(low)) + 1
+        for place, own in zip(low[np.concatenate([[0], cuts])] if len(low) else [], np.split(high, cuts), strict=False):
+            # The likeliest row of each component comes first; if it links, the others needn't be read.
+            first: dict[int, int] = {}
+            for other in own.tolist():
+                if self.comp(other) != self.comp(place):
+                    first.setdefault(self.comp(other), other)
+            if first:
+                self.try_all(place, list(first.values()))
+            rest = [o for o in own.tolist() if self.comp(o) != self.comp(place)]
+            if rest:
+                self.try_all(place, rest)
+        return self.found
+
+
+def block_links(alive: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components in the blocks, verified on the full sets of the rows."""
+    limits = least_matches(percent)
+    texts = texts_of(docs, kept(alive.select("rep").distinct()))
+    rows = alive.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler = Shingler(words)
+        for rows in _by_block(batches, 2 * BLOCK):
+            if len(rows):
+                pairs = _apart(_block_of(rows), percent, limits)
+                sets = [shingler.shingles(t) for t in rows["text"]]
+                links = _Links(rows["rep"].to_numpy(), rows["comp"].to_numpy(), sets, percent)
+                yield pd.DataFrame(links.run(*pairs), columns=["a", "b"], dtype="int64")
+
+    return _together(rows.select("block", "rep", "comp", "n_shingles", "checks", "text")).mapInPandas(run, PAIR)
 
 
 def classes_of(signs: DataFrame) -> DataFrame:
@@ -395,18 +457,14 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, tupl
     signs = stored(signed(docs, words), "signs")
     classes = stored(classes_of(signs), "classes")
     members = stored(bucket_members(classes), "members")
-    tried = stored(compare(star_pairs(members), classes, percent), "pairs")
+    pairs = stored(compare(star_pairs(members), classes, percent), "pairs")
     # An id that stands for several sets joins them.
-    edges = kept(verify(tried, docs, words, percent))
+    edges = kept(verify(pairs, docs, words, percent))
     roots = components(edges)
-    for most in ROUNDS:
-        pairs = block_pairs(_blocks(members, roots, classes), percent, most)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        tried = tried.unionByName(pairs)
-        edges = edges.unionByName(kept(verify(pairs, docs, words, percent)))
-        roots = components(edges)
+    alive = stored(block_members(_blocks(members, roots, classes), percent), "alive")
+    more = kept(block_links(alive, docs, words, percent))
+    if not more.isEmpty():
+        roots = components(edges.unionByName(more))
     return signs, (classes, roots)
 
 
