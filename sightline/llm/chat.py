@@ -70,7 +70,7 @@ def fold(events: DataFrame) -> DataFrame:
 
     Within a message ``start``, ``edit`` and ``regenerate`` set the text anew
     and ``delta`` appends; ``delete`` takes the message out unless a later
-    event sets it anew. A message stands where its first event is. Editing or
+    event sets it anew. A message stands where its first event is, ties by id. Editing or
     regenerating a message also takes out the messages that stand behind it
     and were begun before, as they answer a text that is gone. Events are
     ordered by (seq, kind, text); an event that is repeated exactly, as a log
@@ -107,9 +107,7 @@ def fold(events: DataFrame) -> DataFrame:
         )
     )
     # Of the changes at earlier places the latest decides whether a message was begun before it.
-    before = (
-        Window.partitionBy("conv_id").orderBy("place").rangeBetween(Window.unboundedPreceding, -1)
-    )
+    before = Window.partitionBy("conv_id").orderBy("place", "message_id").rowsBetween(Window.unboundedPreceding, -1)
     cut = F.coalesce(F.max("changed").over(before) > F.col("place"), F.lit(False))
     return messages.withColumn("cut", cut).where(~F.col("cut") & ~F.col("gone")).select(
         "conv_id", "place", "message_id", "role", "text"

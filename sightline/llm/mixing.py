@@ -149,8 +149,8 @@ def plan_mix(
 
     Sources in order of their code points, null last, weigh ``weights`` in
     turn. A document without sources, or of size 0 or null, is not taken; a
-    source named twice counts once. Documents are taken whole; a quota ends
-    within the smallest document at hand. Rows with equal id and size are taken
+    source named twice counts once. Documents are taken whole; a few of each
+    size fill what is left of a quota, which so ends within one document. Rows with equal id and size are taken
     together. More than ``max_patterns`` patterns are refused, as their graph
     would outgrow the driver.
     """

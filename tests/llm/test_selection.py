@@ -171,7 +171,8 @@ def test_mix_meets_targets_and_repeats_itself(spark):
     names = sorted([s for s in own if s], key=str) + [None]
     assert target == pytest.approx(mixing.targets(own, {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}))
     for s in own:
-        assert abs(taken[s] - target[s]) <= 3
+        # Documents are taken whole, so a quota ends within one.
+        assert abs(taken[s] - target[s]) <= max(r.size for r in got if source[r.doc_id] == s)
     again = mixing.mix_documents(_docs(spark, rows[::-1]).repartition(4)).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
 
