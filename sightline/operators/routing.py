@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from sightline.operators.ranking import recent_signals
 from sightline.schema import PORTS, TOPICS
 
+# Ids of cancelled tasks that are sent to every task.
+BROADCAST_POOL = 10_000
+
 # Messages above this size travel by reference.
 MAX_PAYLOAD = 1_000_000
 
@@ -39,10 +42,10 @@ def complete_outputs(results: DataFrame, required: Sequence[str]) -> DataFrame:
 def drop_cancelled(messages: DataFrame, signals: DataFrame, size: int = 100) -> DataFrame:
     """Messages whose task is not among the last ``size`` cancelled ones.
 
-    The pool holds at most ``size`` ids, so it is safe to broadcast.
+    A pool of up to ``BROADCAST_POOL`` ids goes to every task; Spark decides about larger ones.
     """
-    pool = F.broadcast(recent_signals(signals, size=size).select("task"))
-    return messages.join(pool, "task", "left_anti")
+    pool = recent_signals(signals, size=size).select("task")
+    return messages.join(F.broadcast(pool) if size <= BROADCAST_POOL else pool, "task", "left_anti")
 
 
 def by_reference(messages: DataFrame, payload: str, url, limit: int = MAX_PAYLOAD) -> DataFrame:

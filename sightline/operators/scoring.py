@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -19,17 +21,20 @@ def score_batches(
 ) -> DataFrame:
     """Run a model over Arrow batches; it may return any number of rows per batch.
 
-    ``factory`` builds the model once per Python worker and ``name`` tells
-    models apart. Select the columns the model reads before calling.
+    ``factory`` builds the model once per Python worker. A worker keeps one
+    model under each ``name``; another factory under that name, or one with
+    other values inside, replaces it. Select the columns the model reads before
+    calling.
     """
+    content = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # A worker serves many tasks, but each task unpickles this function with
         # its own globals; what has to outlive the task is kept with the interpreter.
         models = vars(sys).setdefault("_sightline_models", {})
-        if name not in models:
-            models[name] = factory()
-        model = models[name]
+        if models.get(name, (None,))[0] != content:
+            models[name] = content, factory()
+        model = models[name][1]
         for batch in batches:
             yield model(batch)
 
@@ -108,3 +113,26 @@ def stand_in_extracter(length: int = 128) -> Callable[[], Callable[[pd.DataFrame
         return extract
 
     return build
+
+
+DETECTIONS = "id long, label string, boxes array<struct<x:long,y:long,w:long,h:long,score:double>>"
+
+
+def stand_in_detector(labels: Sequence[str] = ("person", "car", "bag")) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+    """Repeatable stand-in for a detector: a label and 0 to 3 boxes for every image (id, width, height)."""
+
+    def build():
+        def detect(images: pd.DataFrame) -> pd.DataFrame:
+            mark = images.id.to_numpy("int64")
+            boxes = [
+                [
+                    {"x": int(m + i) % int(w), "y": int(m * 3 + i) % int(h), "w": 10 + i, "h": 20 + i, "score": (m + i) % 100 / 100}
+                    for i in range(m % 4)
+                ]
+                for m, w, h in zip(mark.tolist(), images.width, images.height, strict=True)
+            ]
+            return pd.DataFrame({"id": mark, "label": [labels[m % len(labels)] for m in mark], "boxes": boxes})
+
+        return detect
+
+    return build

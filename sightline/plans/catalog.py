@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -248,12 +249,12 @@ def serial_number(t: Tables) -> DataFrame:
 @query
 def topic_split(t: Tables) -> DataFrame:
     body = T.StructType([T.StructField("k", T.LongType())])
-    split = routing.topic_split(t.messages("TRACKLET", "ATTRIBUTES", "COMMAND"), {"TRACKLET": body, "ATTRIBUTES": body, "COMMAND": body})
+    split = routing.topic_split(t.messages(), {topic: body for topic in TOPIC_OF.values()})
     parts = [
         df.groupBy("topic").agg(F.count(F.lit(1)).alias("n_messages"), F.sum("payload.k").alias("sum_k"))
         for df in split.values()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -619,10 +620,10 @@ def attr_distance(t: Tables) -> DataFrame:
 @query
 def scores_hook(t: Tables) -> DataFrame:
     """Attributes of every entity from a stand-in model over its sampled boxes."""
-    names = list(ATTRS[:8])
+    names = list(ATTRS)
     schema = "entity long, idx long, " + ", ".join(f"{n} double" for n in names)
     boxes = _kept(t).select("entity", "idx", "x", "y", "w", "h")
-    scored = scoring.score_batches(boxes, scoring.stand_in_recognizer(names), schema, "stand-in-8")
+    scored = scoring.score_batches(boxes, scoring.stand_in_recognizer(names), schema, "stand-in-125")
     return G.mean_scores(scored, names)
 
 
@@ -647,6 +648,21 @@ def features_hook(t: Tables) -> DataFrame:
     )
 
 
+@query
+def detections_hook(t: Tables) -> DataFrame:
+    """A label and boxes of every image from a stand-in detector."""
+    image = t.entities().select(
+        F.col("entity").alias("id"),
+        (64 + F.col("entity") % 50).alias("width"),
+        (48 + F.col("start_frame") % 30).alias("height"),
+    )
+    found = scoring.score_batches(image, scoring.stand_in_detector(), scoring.DETECTIONS, "stand-in-detector")
+    first = F.get("boxes", F.lit(0))
+    return found.select(
+        "id", "label", F.size("boxes").cast("bigint").alias("n_boxes"), first["x"].alias("x"), first["y"].alias("y"), first["score"].alias("score")
+    )
+
+
 def _tracked_boxes(videos: DataFrame) -> DataFrame:
     """Stand-in tracker whose entities carry their boxes."""
     found = scoring.score_batches(videos, scoring.stand_in_tracker(), scoring.TRACKS, "stand-in-tracker")
@@ -660,7 +676,7 @@ def _tracked_boxes(videos: DataFrame) -> DataFrame:
 @query
 def command_flow(t: Tables) -> DataFrame:
     """What all commands store: tracking, sampling, scoring and upsert in one plan."""
-    names = list(ATTRS[:4])
+    names = list(ATTRS)
     updates = flow.entity_updates(
         t.commands(),
         t.files(),

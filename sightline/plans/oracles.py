@@ -282,7 +282,7 @@ _SELECT = {
     "topic_split": (
         "event_k message",
         """select topic, count(*) as n_messages, cast(sum(k) as bigint) as sum_k from message
-           where topic in ('TRACKLET', 'ATTRIBUTES', 'COMMAND') group by topic""",
+           group by topic""",
     ),
     "port_filter": (
         "event_k message",
@@ -503,6 +503,14 @@ _SELECT = {
                   (x * 31 + y * 17 + w * 7 + h * 3) % 256 / 256.0::double as first,
                   (x * 31 + y * 17 + w * 7 + h * 3 + 127) % 256 / 256.0::double as last from kept""",
     ),
+    "detections_hook": (
+        "",
+        """select o_orderkey as id, ['person', 'car', 'bag'][o_orderkey % 3 + 1] as label,
+                  o_orderkey % 4 as n_boxes,
+                  case when o_orderkey % 4 > 0 then o_orderkey % (64 + o_orderkey % 50) end as x,
+                  case when o_orderkey % 4 > 0 then o_orderkey * 3 % (48 + o_orderkey * 37 % 1000000 % 30) end as y,
+                  case when o_orderkey % 4 > 0 then o_orderkey % 100 / 100.0::double end as score from orders""",
+    ),
     "command_flow": (
         "event_k message command known edge entity file task",
         f"""select e.video || '_tarid' || serial as entity_id, e.command as data_type,
@@ -513,7 +521,7 @@ _SELECT = {
             f"""case when e.command in (select command from edge where src = 'track' and dst = 'attr')
                       and e.command in (select command from edge where src = 'attr' and dst = 'save_attr')
                      then cast(s{i} as double) / n_kept else -1 end as {a}"""
-            for i, a in enumerate(ATTRS[:4])
+            for i, a in enumerate(ATTRS)
         )
         + f""" from (select command, video, arg_max(task, command_id) as task from task
                      where input = 'video' and command like 'track%' group by command, video) e
@@ -524,7 +532,7 @@ _SELECT = {
                join (select n, count(*) as n_kept, """
         + ", ".join(
             f"cast(sum((idx * 31 + idx * 2 * 17 + 21 + (idx + 1) * 3 + {i * 13}) % 1000) as bigint) as s{i}"
-            for i in range(4)
+            for i in range(len(ATTRS))
         )
         + f""" from (select idx, n from range(32) as a(n), range(32) as b(idx) where idx < n)
                where {_keeps(5)} group by n) k on k.n = v.n_boxes
@@ -535,7 +543,7 @@ _SELECT = {
         "select entity, count(*) as n_samples, "
         + ", ".join(
             f"cast(sum((x * 31 + y * 17 + w * 7 + h * 3 + {i * 13}) % 1000) as double) / count(*) as {a}"
-            for i, a in enumerate(ATTRS[:8])
+            for i, a in enumerate(ATTRS)
         )
         + " from kept group by entity",
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the Python line of every column call doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -38,18 +41,18 @@ def pin_time_zone(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for reliable checkpoints: the one the cluster names, never a local one on a cluster."""
+    """Folder for reliable checkpoints: the one the cluster names; only a single local process may make its own."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="sightline-checkpoint-")
     context.setCheckpointDir(named)
-    return named
+    return context.getCheckpointDir()
 
 
 def kept(df: DataFrame) -> DataFrame:

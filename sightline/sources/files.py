@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.functions.names import parent_dir
 from sightline.functions.payload import to_base64
+from sightline.operators.ranking import latest_per_key
 from sightline.schema import HEADER, SAMPLE_LINE
 
 
+def plain_path(path: Column) -> Column:
+    """A path without scheme and authority, as two names of one file are compared."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+
+
+def _plain(path: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/", path).rstrip("/")
+
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Every file below a folder, with size and time; contents are not read."""
+    """Every file below a folder, with size and time; contents are not read. Local paths lose their scheme."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -21,14 +32,20 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return reader.load(root).select(path.alias("path"), "length", F.col("modificationTime").alias("modified"))
 
 
-def stored_dirs(files: DataFrame, root: str) -> DataFrame:
+def stored_dirs(files: DataFrame, root: str, check: bool = True) -> DataFrame:
     """Folders exactly two levels below ``root/<video>``: one per stored entity.
 
-    Works on a listing, so one listing serves all videos.
+    Works on a listing, so one listing serves all videos. Schemes and
+    authorities don't count: a bare root matches an ``hdfs://`` listing and the
+    other way round; ``url`` begins as ``root`` does. With ``check`` a root
+    that holds none of the listed files is an error.
     """
-    inside = F.expr(f"substring(path, {len(root.rstrip('/')) + 2})")
-    parts = F.split(inside, "/")
-    found = files.where(F.col("path").startswith(root.rstrip("/") + "/")).where(F.size(parts) >= 4)
+    plain, path = _plain(root), plain_path(F.col("path"))
+    inside = files.where(path.startswith(plain + "/"))
+    if check and inside.isEmpty() and not files.isEmpty():
+        raise ValueError(f"no listed file is below {root}")
+    parts = F.split(F.substring(path, F.lit(len(plain) + 2), F.char_length(path)), "/")
+    found = inside.where(F.size(parts) >= 4)
     return found.select(
         F.get(parts, F.lit(0)).alias("video"),
         F.get(parts, F.lit(1)).alias("task"),
@@ -42,31 +59,44 @@ def archive_member(path):
     return F.when(path.rlike(r"\.har(/|$)") & ~path.startswith("har:"), F.concat(F.lit("har://"), path)).otherwise(path)
 
 
-def write_entities(headers: DataFrame, boxes: DataFrame, root: str, partition: str = "video") -> None:
-    """Store entities as three tables below ``root``.
+def write_entities(
+    headers: DataFrame, boxes: DataFrame, root: str, batch_id: int, partition: str = "video", spread: int = 1
+) -> None:
+    """Store a batch of entities as three tables below ``root``.
 
     ``headers`` has one row per entity without boxes, ``boxes`` all positions,
-    and only boxes with pixels enter ``samples``. Files hold many entities, so
-    nothing has to be packed later.
+    and only boxes with pixels enter ``samples``. A batch that is written again
+    replaces itself. Rows are dealt by ``partition`` and, for large videos,
+    over ``spread`` tasks each, so a task writes few files; the headers come
+    last, as an entity counts once its header is there.
     """
     plain = [c for c in boxes.columns if c != "patch"]
     for name, df in (
-        ("headers", headers),
         ("boxes", boxes.select(*plain)),
         ("samples", boxes.where(F.col("patch").isNotNull())),
+        ("headers", headers),
     ):
         by = [partition] if partition in df.columns else []
-        df.write.mode("append").partitionBy(*by).parquet(f"{root}/{name}")
+        salt = F.pmod(F.xxhash64(*plain if name == "boxes" else df.columns[:2]), F.lit(spread))
+        dealt = df.repartition(*by, salt).withColumn("batch_id", F.lit(batch_id))
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by, "batch_id").parquet(f"{root}/{name}")
 
 
 def read_entities(
     spark: SparkSession, root: str, keys: Sequence[str] = ("video", "serial", "idx")
 ) -> tuple[DataFrame, DataFrame]:
-    """Headers, and the boxes with the pixels of those that were sampled."""
-    headers = spark.read.parquet(f"{root}/headers")
-    boxes = spark.read.parquet(f"{root}/boxes")
-    samples = spark.read.parquet(f"{root}/samples").select(*keys, "patch")
-    return headers, boxes.join(samples, list(keys), "left_outer")
+    """Headers, and the boxes with the pixels of those that were sampled.
+
+    An entity stored by several batches is read as the last one left it;
+    ``keys`` are its key columns and, at the end, the place of a box in it.
+    """
+    entity = list(keys)[:-1]
+    headers = latest_per_key(spark.read.parquet(f"{root}/headers"), entity, ["batch_id"])
+    last = headers.select(*entity, "batch_id")
+    boxes = spark.read.parquet(f"{root}/boxes").join(last, [*entity, "batch_id"], "left_semi")
+    samples = spark.read.parquet(f"{root}/samples").select(*keys, "batch_id", "patch")
+    return headers.drop("batch_id"), boxes.join(samples, [*keys, "batch_id"], "left_outer").drop("batch_id")
 
 
 def read_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -80,8 +110,9 @@ def read_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def headers_of(entities: DataFrame, headers: DataFrame) -> DataFrame:
-    """Headers of the given entity folders; null where a folder has none."""
-    return entities.join(headers.drop("path"), "url", "left_outer")
+    """Headers of the given entity folders, whatever scheme either is named with; null where a folder has none."""
+    own = headers.drop("path").withColumn("_plain", plain_path(F.col("url"))).drop("url")
+    return entities.withColumn("_plain", plain_path(F.col("url"))).join(own, "_plain", "left_outer").drop("_plain")
 
 
 def read_sample_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -38,6 +38,11 @@ def read_entities(
     return merge_updates(read_updates(spark, root, schema), groups, keys)
 
 
+def read_edges(spark: SparkSession, root: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Stored edges from time buckets to entities; an edge that several batches created counts once."""
+    return spark.read.parquet(root).drop("batch_id").dropDuplicates(["bucket_start", *keys])
+
+
 def compact(
     spark: SparkSession, root: str, target: str, groups: Sequence[str], keys: Sequence[str] = KEYS
 ) -> None:

@@ -28,17 +28,19 @@ def buffered_join(
     right_ts: str = "right_ts",
     buffer_ms: int = BUFFER_MS,
     how: str = "inner",
+    delay_ms: int | None = None,
 ) -> DataFrame:
     """Pairs with equal keys at most ``buffer_ms`` apart, in either order of arrival.
 
     The watermarks let Spark drop a buffered row once no partner can follow.
     With ``left_outer`` a left row without partner is given out then, instead
-    of being lost.
+    of being lost. Rows may be ``delay_ms`` late, by default as long as the buffer.
     """
     keys = list(keys)
+    delay = buffer_ms if delay_ms is None else delay_ms
     extra = [c for c in right.columns if c not in keys]
-    a = event_time(left, left_ts, buffer_ms).alias("l")
-    b = event_time(right, right_ts, buffer_ms).alias("r")
+    a = event_time(left, left_ts, delay).alias("l")
+    b = event_time(right, right_ts, delay).alias("r")
     match = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     span = F.make_dt_interval(secs=F.lit(buffer_ms / 1000))
     match.append(F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") - span)
@@ -47,8 +49,13 @@ def buffered_join(
     return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in extra])
 
 
-_WAITING = "id long, ts long"
-PAIR = "left_id long, right_id long, how string"
+# A row waits with its columns as JSON, written and read by Spark.
+_WAITING = "row string, ts long"
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+# Pairs given out at a time, and how finely timers tell times apart.
+CHUNK = 10_000
+TIMER_MS = 1_000
 
 
 class _Consume(StatefulProcessor):
@@ -64,26 +71,23 @@ class _Consume(StatefulProcessor):
         self.right = handle.getListState("right", _WAITING)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
-        micros = batch["ts"].astype("datetime64[us]").astype("int64")
-        came = list(zip(batch["side"] == "left", batch["id"], micros // 1000))
-        lefts = [(int(i), int(ts)) for is_left, i, ts in came if is_left]
-        rights = [(int(i), int(ts)) for is_left, i, ts in came if not is_left]
+        came: dict[str, list[tuple[str, int]]] = {"left": [], "right": []}
+        for part in rows:
+            micros = part["c_ts"].astype("datetime64[us]").astype("int64")
+            for side, row, at in zip(part["c_side"], part["c_row"], micros // 1000, strict=True):
+                came[side].append((row, int(at)))
+        lefts, rights = came["left"], came["right"]
         if lefts and rights:
-            pairs = [(a, b, "instant") for a, _ in lefts for b, _ in rights]
+            yield from self._out(key, ((a, b, "instant") for a, _ in lefts for b, _ in rights))
         elif lefts:
-            pairs = [(a, b, "late_left") for a, at in lefts for b, bt in self.right.get() if self._near(at, bt)]
+            # The buffer is read as it comes, never held as a whole.
+            near = ((a, b, "late_left") for b, bt in self.right.get() for a, at in lefts if self._near(at, bt))
+            yield from self._out(key, near)
             self._wait(self.left, lefts)
         else:
-            waiting = list(self.left.get())
-            pairs = [(a, b, "late_right") for b, bt in rights for a, at in waiting if self._near(at, bt)]
-            met = {b for _, b, _ in pairs}
-            self._wait(self.right, [r for r in rights if r[0] not in met])
-        if pairs:
-            out = pd.DataFrame(pairs, columns=["left_id", "right_id", "how"])
-            for place, name in enumerate(self.keys):
-                out.insert(place, name, key[place])
-            yield out
+            met: set[int] = set()
+            yield from self._out(key, self._late_rights(rights, met))
+            self._wait(self.right, [r for place, r in enumerate(rights) if place not in met])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -98,35 +102,68 @@ class _Consume(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def _late_rights(self, rights, met: set[int]):
+        for a, at in self.left.get():
+            for place, (b, bt) in enumerate(rights):
+                if self._near(at, bt):
+                    met.add(place)
+                    yield a, b, "late_right"
+
+    def _out(self, key, pairs) -> Iterator[pd.DataFrame]:
+        chunk = []
+        for pair in pairs:
+            chunk.append((*key, *pair))
+            if len(chunk) == CHUNK:
+                yield pd.DataFrame(chunk, columns=[*self.keys, "_left", "_right", "how"])
+                chunk = []
+        if chunk:
+            yield pd.DataFrame(chunk, columns=[*self.keys, "_left", "_right", "how"])
+
     def _near(self, a: int, b: int) -> bool:
         return abs(a - b) < self.buffer_ms
 
     def _wait(self, state, rows) -> None:
         if rows:
             state.appendList(rows)
-            for _, ts in rows:
-                self.handle.registerTimer(ts + self.buffer_ms)
+            for time in {-(-(ts + self.buffer_ms) // TIMER_MS) * TIMER_MS for _, ts in rows}:
+                self.handle.registerTimer(time)
 
 
 def consume_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    key_types: Sequence[str],
+    left_ts: str = "left_ts",
+    right_ts: str = "right_ts",
     buffer_ms: int = BUFFER_MS,
-    delay_ms: int = 0,
+    delay_ms: int | None = None,
 ) -> DataFrame:
-    """Buffered join with exact rules per micro-batch; each side is (keys, id, ts).
+    """Buffered join with exact rules per micro-batch: all columns of both sides, and ``how``.
 
     Rows that meet in one micro-batch pair at once and never wait. A waiting
     left row pairs with every right row that follows; a right row waits only
-    when no left row was waiting for it. Needs the RocksDB state store.
+    when no left row was waiting for it. Rows may be ``delay_ms`` late, by
+    default as long as the buffer, so that disorder inside the buffer loses
+    nothing. Columns other than the keys must have different names on the two
+    sides; they may be of any type that JSON can hold. Needs the RocksDB state
+    store.
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, "id", F.col("ts").cast("timestamp").alias("ts"), F.lit(name).alias("side"))
-
-    both = side(left, "left").unionByName(side(right, "right")).withWatermark("ts", f"{delay_ms} milliseconds")
-    schema = ", ".join([f"{k} {t}" for k, t in zip(keys, key_types)] + [PAIR])
-    return both.groupBy(*keys).transformWithStateInPandas(
+    keys = list(keys)
+    delay = buffer_ms if delay_ms is None else delay_ms
+    rest = {}
+
+    def side(df: DataFrame, name: str, ts: str) -> DataFrame:
+        rest[name] = df.select(*[c for c in df.columns if c not in keys]).schema
+        row = F.to_json(F.struct(*rest[name].names), _JSON)
+        return df.select(*keys, F.lit(name).alias("c_side"), F.col(ts).cast("timestamp").alias("c_ts"), row.alias("c_row"))
+
+    both = side(left, "left", left_ts).unionByName(side(right, "right", right_ts))
+    kinds = dict(left.dtypes)
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "_left string, _right string, how string"])
+    met = both.withWatermark("c_ts", f"{delay} milliseconds").groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_Consume(keys, buffer_ms), outputStructType=schema, outputMode="Append", timeMode="EventTime"
     )
+    rows = {name: F.from_json(f"_{name}", rest[name], _JSON) for name in rest}
+    return met.select(*keys, "how", *[rows[name].alias(f"_{name}") for name in rows]).select(
+        *keys, "_left.*", "_right.*", "how"
+    )

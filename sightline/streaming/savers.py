@@ -33,7 +33,10 @@ def entity_saver(root: str, groups: dict[str, Sequence[str]], keys: Sequence[str
 
 
 def edge_saver(root: str, buckets: Callable[[], DataFrame], keys: Sequence[str] = KEYS) -> Saver:
-    """Place a batch's entities into the existing time buckets."""
+    """Place a batch's entities into the existing time buckets.
+
+    Later batches may bring an entity again; ``read_edges`` counts each edge once.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         placed = batch.where(F.col("start_time").isNotNull())

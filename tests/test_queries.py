@@ -9,12 +9,12 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_module
-from sightline.plans import catalog
+from sightline.plans import catalog, oracles
 from sightline.plans.tables import Tables
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracles.oracle_sql()
 
 
 # These tables have fewer tasks than the signal pool holds.
@@ -33,8 +33,9 @@ def plan_of(df) -> str:
     return text.getvalue()
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

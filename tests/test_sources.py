@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from sightline.operators import aggregates as G
@@ -25,11 +26,28 @@ def test_entities_round_trip(spark, tmp_path):
     root = str(tmp_path / "store")
     headers = spark.createDataFrame([("v", 0, 2, 100), ("v", 1, 2, 300)], "video string, serial int, num int, start_frame int")
     boxes = _boxes(spark)
-    S.write_entities(headers, boxes, root)
+    for batch_id in (0, 0, 1):
+        S.write_entities(headers, boxes, root, batch_id, spread=2)
     back, loaded = S.read_entities(spark, root)
     columns = boxes.columns
     assert sorted(loaded.select(*columns).collect(), key=lambda r: r[1:3]) == sorted(boxes.collect(), key=lambda r: r[1:3])
-    assert back.count() == 2
+    assert back.count() == 2 and loaded.count() == 8
+    S.write_entities(headers.where("serial = 1"), boxes.where("serial = 1 AND idx < 3"), root, 2)
+    assert sorted(tuple(r) for r in S.read_entities(spark, root)[1].groupBy("serial").count().collect()) == [(0, 4), (1, 3)]
+
+
+def test_folders_under_any_scheme(spark):
+    names = ["v/t/0/info.txt", "v/t/0/tracklet.data", "w/t/1/info.txt", "stray.txt"]
+    for listed, root in [("hdfs://nn:8020/meta", "/meta"), ("/meta", "hdfs://nn:8020/meta/"), ("file:///meta", "file:/meta")]:
+        files = spark.createDataFrame([(f"{listed}/{n}",) for n in names], "path string")
+        got = {(r.video, r.serial, r.url) for r in S.stored_dirs(files, root).collect()}
+        root = root.rstrip("/")
+        assert got == {("v", "0", f"{root}/v/t/0"), ("w", "1", f"{root}/w/t/1")}
+        headers = spark.createDataFrame([(f"{listed}/v/t/0/info.txt", f"{listed}/v/t/0", 7)], "path string, url string, num long")
+        found = S.headers_of(S.stored_dirs(files, root), headers)
+        assert {(r.video, r.num) for r in found.collect()} == {("v", 7), ("w", None)}
+    with pytest.raises(ValueError, match="no listed file"):
+        S.stored_dirs(files, "/elsewhere")
 
 
 def test_header_and_sample_lines(spark, tmp_path):
@@ -68,14 +86,14 @@ def test_archive_member(spark):
 
 def test_logs(spark, tmp_path):
     runs = spark.createDataFrame([("tracking", "n", 4, 1, 9), ("attr", "n", 0, 2, 5)], "type string, node string, n_samples long, start_ms long, end_ms long")
-    for _ in range(2):
-        logs.append_runs(runs, str(tmp_path / "runs"))
+    for batch_id in (0, 1, 1):
+        logs.append_runs(runs, str(tmp_path / "runs"), batch_id)
     cost = {r.type: (r.n_runs, r.ms_per_run, r.ms_per_sample) for r in G.mean_cost(logs.read_runs(spark, str(tmp_path / "runs"))).collect()}
     assert cost == {"tracking": (2, 8, 2), "attr": (2, 3, None)}
     links = spark.createDataFrame([(1, 2, 0.5)], "src long, dst long, sim double")
-    logs.append_links(links, str(tmp_path / "links"), "minute")
-    logs.append_links(links, str(tmp_path / "links"), "hour")
-    assert {r.level for r in spark.read.parquet(str(tmp_path / "links")).collect()} == {"minute", "hour"}
+    for level in ("minute", "hour", "hour"):
+        logs.append_links(links, str(tmp_path / "links"), 3, level)
+    assert sorted(r.level for r in logs.read_links(spark, str(tmp_path / "links")).collect()) == ["hour", "minute"]
 
 
 def test_messages_to_next_nodes(spark):
@@ -120,6 +138,15 @@ def test_models_load_once_per_worker(spark, tmp_path):
     assert len(workers) == len(set(workers))
 
 
+def test_factories_under_one_name_are_told_apart(spark):
+    def factory(value):
+        return lambda: lambda batch: batch.assign(v=value)
+
+    for value in (1.0, 2.0, 1.0):
+        got = scoring.score_batches(spark.range(20).repartition(8), factory(value), "id long, v double", "m")
+        assert {r.v for r in got.collect()} == {value}
+
+
 def test_zero_recognizer(spark):
     boxes = spark.createDataFrame([(1, 0), (1, 1)], "entity long, idx long")
     names = ATTRS[:3]

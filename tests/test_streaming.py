@@ -9,6 +9,8 @@ from pyspark.sql.types import StructType
 from sightline.functions.names import start_time
 from sightline.operators import joins as J
 from sightline.operators import routing
+from sightline.operators.similarity import topk_similar
+from sightline.operators.timetree import bucket_counts
 from sightline.sources import messages as M
 from sightline.sources import upserts
 from sightline.streaming import joins as SJ
@@ -97,6 +99,39 @@ CASES = {
 }
 
 
+def _sides(rows, *more):
+    return [
+        rows.where(f"which = '{w}'").select(
+            "task", "serial", F.col("id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"), *[F.col(c).alias(f"{n}_{c}") for c in more]
+        )
+        for w, n in (("L", "left"), ("R", "right"))
+    ]
+
+
+def test_disorder_inside_the_buffer_loses_nothing(spark, tmp_path):
+    """With default arguments a right row pairs though newer rows came first; then the pair is ranked."""
+    schema = SIDE + ", which string, vec array<double>, score double"
+    rows = [
+        [("t", 0, 1, _at(100), "L", [1.0, 0.0], 0.1)],
+        [("u", 0, 2, _at(101), "L", [0.0, 1.0], None)],
+        [("t", 0, 10, _at(90), "R", [0.5, 0.5], 1 / 3)],
+        [("u", 0, 11, _at(102), "R", [0.0, 2.0], float("nan")), ("u", 0, 12, _at(103), "R", None, 2.5e-17)],
+    ]
+    stream = _feed(spark, str(tmp_path), rows, schema)
+    got, _ = _run(SJ.consume_join(*_sides(stream, "vec", "score"), ["task", "serial"]), tmp_path, spark)
+    batch = J.consume_join(*_sides(spark.createDataFrame([r for b in rows for r in b], schema), "vec", "score"), ["task", "serial"])
+    columns = [c for c in batch.columns if c != "how"]
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
+    assert {(r.left_id, r.right_id, r.how) for r in got.collect()} == {
+        (1, 10, "late_right"), (2, 11, "late_right"), (2, 12, "late_right"),
+    }
+    assembled = J.joined_union(got, got.limit(0).drop("how"))
+    probes = assembled.select(F.col("left_id").alias("id"), F.col("left_vec").alias("vec")).distinct()
+    gallery = assembled.where("right_vec IS NOT NULL").select(F.col("right_id").alias("id"), F.col("right_vec").alias("vec"))
+    ranked = topk_similar(probes, gallery, k=1)
+    assert {(r.probe, r.id) for r in ranked.collect()} == {(1, 10), (2, 11)}
+
+
 def test_consume_join_rules(spark, tmp_path):
     batches = [
         [
@@ -108,8 +143,7 @@ def test_consume_join_rules(spark, tmp_path):
         for n in range(3)
     ]
     stream = _feed(spark, str(tmp_path), batches, SIDE + ", which string")
-    left, right = (stream.where(f"which = '{w}'").drop("which") for w in "LR")
-    joined = SJ.consume_join(left, right, ["task", "serial"], ["string", "long"], delay_ms=3_600_000)
+    joined = SJ.consume_join(*_sides(stream), ["task", "serial"], delay_ms=3_600_000)
     got, _ = _run(joined, tmp_path, spark)
     want = {
         (name, 100 * c + a, 100 * c + b, how) for c, (name, (_, pairs)) in enumerate(CASES.items()) for a, b, how in pairs
@@ -118,11 +152,7 @@ def test_consume_join_rules(spark, tmp_path):
 
     # The batch form finds the same micro-batches in the times of the rows.
     rows = spark.createDataFrame([r for b in batches for r in b], SIDE + ", which string")
-    lefts, rights = (
-        rows.where(f"which = '{w}'").select("task", "serial", F.col("id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
-        for w, n in (("L", "left"), ("R", "right"))
-    )
-    batch = J.consume_join(lefts, rights, ["task", "serial"], batch_ms=2_000)
+    batch = J.consume_join(*_sides(rows), ["task", "serial"], batch_ms=2_000)
     assert {(r.task, r.left_id, r.right_id, r.how) for r in batch.collect()} == want
 
 
@@ -130,8 +160,7 @@ def test_consume_join_forgets(spark, tmp_path):
     """A row leaves the buffer once the watermark has passed it."""
     rows = [[("t", 0, 1, _at(0), "L")], [("u", 0, 2, _at(5000), "L")], [("u", 0, 3, _at(6000), "L")]]
     stream = _feed(spark, str(tmp_path), rows, SIDE + ", which string")
-    left, right = (stream.where(f"which = '{w}'").drop("which") for w in "LR")
-    joined = SJ.consume_join(left, right, ["task", "serial"], ["string", "long"])
+    joined = SJ.consume_join(*_sides(stream), ["task", "serial"], delay_ms=0)
     _, query = _run(joined, tmp_path, spark)
     metrics = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
     assert sum(m["numDeletedTimers"] for m in metrics) == 2
@@ -175,8 +204,9 @@ def test_savers_share_a_batch_and_repeat_safely(spark, tmp_path):
     merged = upserts.read_entities(spark, table, list(GROUPS))
     got = {r.entity_id: (r.path, r.s1) for r in merged.select("entity_id", "track.path", "attr.s1").collect()}
     assert got == {"e1": ("/b", 0.25), "e2": (None, 0.5)}
-    placed = spark.read.parquet(edges).select("bucket_start", "entity_id").distinct().collect()
-    assert [tuple(r) for r in placed] == [(202401010000, "e1")]
+    placed = upserts.read_edges(spark, edges)
+    assert [tuple(r) for r in placed.select("bucket_start", "entity_id").collect()] == [(202401010000, "e1")]
+    assert [tuple(r) for r in bucket_counts(placed).collect()] == [(202401010000, 1)]
 
     target = str(tmp_path / "compacted")
     upserts.compact(spark, table, target, list(GROUPS))
