@@ -99,7 +99,9 @@ def stand_in_tracker() -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
     return build
 
 
-def stand_in_extracter(length: int = 128) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+def stand_in_extracter(
+    length: int = 128, keys: Sequence[str] = ("entity", "idx")
+) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
     """Repeatable stand-in for a feature network: a vector of fixed length for every box."""
 
     def build():
@@ -108,13 +110,29 @@ def stand_in_extracter(length: int = 128) -> Callable[[], Callable[[pd.DataFrame
         def extract(boxes: pd.DataFrame) -> pd.DataFrame:
             base = (boxes.x * 31 + boxes.y * 17 + boxes.w * 7 + boxes.h * 3).to_numpy("int64")
             vecs = ((base[:, None] + steps[None, :]) % 256 / 256).astype("float32")
-            return pd.DataFrame({"entity": boxes.entity.to_numpy(), "idx": boxes.idx.to_numpy(), "vec": list(vecs)})
+            return _with_keys(boxes, keys, pd.DataFrame({"vec": list(vecs)}))
 
         return extract
 
     return build
 
 
+def stand_in_reider(
+    names: Sequence[str], keys: Sequence[str] = ("entity", "idx"), k: int = 10
+) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+    """Repeatable stand-in for re-identification: ``k`` ids below 10 000 from the first and the last score."""
+
+    def build():
+        def rank(rows: pd.DataFrame) -> pd.DataFrame:
+            first, last = (np.floor(rows[n].to_numpy("float64")).astype("int64") for n in (names[0], names[-1]))
+            ids = ((first * 31 + last)[:, None] + np.arange(k, dtype="int64") * 7) % 10_000
+            return _with_keys(rows, keys, pd.DataFrame({"ids": list(ids)}))
+
+        return rank
+
+    return build
+
+
 DETECTIONS = "id long, label string, boxes array<struct<x:long,y:long,w:long,h:long,score:double>>"
 
 

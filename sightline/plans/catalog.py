@@ -675,22 +675,32 @@ def _tracked_boxes(videos: DataFrame) -> DataFrame:
 
 @query
 def command_flow(t: Tables) -> DataFrame:
-    """What all commands store: tracking, sampling, scoring and upsert in one plan."""
-    names = list(ATTRS)
-    updates = flow.entity_updates(
-        t.commands(),
-        t.files(),
+    """What all commands store: tracks, attributes, features and ranks along the edges of their plans."""
+    names, keys = list(ATTRS), ("origin", *flow.ENTITY)
+    models = flow.Models(
         tracker=_tracked_boxes,
-        recognizer=scoring.stand_in_recognizer(names, E.KEYS),
+        recognizer=scoring.stand_in_recognizer(names, keys),
+        extracter=scoring.stand_in_extracter(keys=keys),
+        reider=scoring.stand_in_reider(names, keys),
         names=names,
-        model="stand-in-flow",
-        date="2018-05-09",
-    )
-    stored = E.merge_groups([updates], ["track", "attr"])
+        label="stand-in-flow",
+    )
+    owner = t.numbered_entities().select("entity", "video", "serial")
+    boxes = t.patched_boxes().join(owner, "entity")
+    # What was stored before: the mean score s1 of the entity, plus the attribute's number.
+    old = [(F.col("s1") + i).alias(n) for i, n in enumerate(names)]
+    attrs = _means(t).join(owner, "entity").select("video", "serial", *old)
+    updates = flow.entity_updates(t.commands(), t.files(), models, boxes, attrs, date="2018-05-09")
+    stored = E.merge_groups([updates], ["track", "attr", "feature", "rank"])
+    vec = V.decode_feature(F.col("feature.reid_feature"))
     return stored.select(
         *E.KEYS,
-        "track.path",
-        "track.start_time",
-        "track.num",
+        F.coalesce("track.path", F.lit("")).alias("path"),
+        F.coalesce("track.start_time", F.lit("")).alias("start_time"),
+        F.coalesce("track.num", F.lit(-1)).cast("bigint").alias("num"),
         *[F.coalesce(f"attr.{n}", F.lit(-1.0)).alias(n) for n in names],
+        F.coalesce(F.get(vec, F.lit(0)).cast("double"), F.lit(-1.0)).alias("feature_first"),
+        F.coalesce(F.get(vec, F.lit(127)).cast("double"), F.lit(-1.0)).alias("feature_last"),
+        F.coalesce("feature.is_finish", F.lit(False)).alias("is_finish"),
+        F.coalesce(F.array_join(F.col("rank.ids").cast("array<string>"), ","), F.lit("")).alias("ids"),
     )

@@ -1,48 +1,99 @@
-"""From commands to stored entities: fan-out, tracking, sampling, scoring and upserts in one chain."""
+"""From commands to stored entities: every command's tasks follow the edges of its plan.
+
+Models run once for each entity, however many commands ask for it; what they
+found is then joined to the tasks. An entity comes either out of tracking or
+out of the store, as its command says.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.names import entity_id, start_time, store_path, video_part
+from sightline.functions.vectors import encode_feature
 from sightline.operators.aggregates import mean_scores
-from sightline.operators.entities import KEYS, as_group
-from sightline.operators.ranking import latest_per_key
+from sightline.operators.entities import FEATURE, KEYS, as_group, feature_update
 from sightline.operators.scoring import score_batches
 from sightline.operators.sequences import clear_unsampled, kept_samples
-from sightline.plans.commands import edge_table, fan_out
+from sightline.plans.commands import edge_table, entry_table, fan_out
 from sightline.session import kept
 from sightline.sources.upserts import write_updates
 
 TRACK = ("path", "start_time", "start_frame", "num", "cam", "video")
+RANK = ("ids",)
+
+# An entity before a command labels it.
+ENTITY = ("video", "serial")
 
 Tracker = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Models:
+    """What runs at the nodes of the plans; ``label`` names the set in the workers.
+
+    ``tracker`` turns distinct videos into (video, serial, num, start_frame, boxes).
+    ``recognizer`` and ``extracter`` build models from boxes to (video, serial)
+    with scores and with a vector ``vec``; ``reider`` one from (video, serial)
+    and scores to the ``ids`` of the most similar entities.
+    """
+
+    tracker: Tracker
+    recognizer: Callable
+    extracter: Callable
+    reider: Callable
+    names: Sequence[str]
+    label: str
+    samples: int = 5
+
+
 def with_edge(tasks: DataFrame, src: str, dst: str) -> DataFrame:
     """Rows of the commands whose plan leads from one node to another."""
     edges = edge_table(tasks.sparkSession).where((F.col("src") == src) & (F.col("dst") == dst))
     return tasks.join(F.broadcast(edges.select("command")), "command", "left_semi")
 
 
-def tracked(
-    tasks: DataFrame, tracker: Tracker, root: str, method: str, date: str, keep: Callable[[DataFrame], DataFrame] = kept
-) -> DataFrame:
-    """Entities of the tasks that start with tracking, under the command as their label.
+def _saved(tasks: DataFrame, node: str) -> DataFrame:
+    """Rows of the commands that run a node, fed by an edge or entered at it, and store its output."""
+    spark = tasks.sparkSession
+    fed = edge_table(spark).where(F.col("dst") == node).select("command")
+    entered = entry_table(spark).where(F.col("node") == node).select("command")
+    runs = fed.unionByName(entered).distinct()
+    saver = {"attr": "save_attr", "feature": "save_feature", "reid": "save_rank"}[node]
+    return with_edge(tasks, node, saver).join(F.broadcast(runs), "command", "left_semi")
+
+
+def _videos(tasks: DataFrame) -> DataFrame:
+    return tasks.where((F.col("input") == "video") & F.col("command").startswith("track"))
 
-    ``tracker`` turns distinct videos into (video, serial, num, start_frame, boxes);
-    a video that several commands name is tracked once. When a command is given
-    again for a video, its last task counts. ``keep`` stores what the tracker
-    found, so that the model runs once for all that follows.
+
+def asked_entities(tasks: DataFrame, tracked: DataFrame, stored: DataFrame) -> DataFrame:
+    """(command, video, serial, origin, command_id): each entity a command works on, with its last asking.
+
+    ``tracked`` and ``stored`` are (video, serial). A command's models find the
+    same for an entity whichever of its tasks asks, so one row is enough.
     """
-    asked = tasks.where((F.col("input") == "video") & F.col("command").startswith("track"))
-    wanted = latest_per_key(asked.select("command", "video", "task", "command_id"), ["command", "video"], ["command_id"])
-    found = keep(tracker(asked.select("video").distinct()))
+    by_video = tasks.groupBy("command", "input", "video").agg(F.max("command_id").alias("command_id"))
+    by_serial = (
+        tasks.where("input = 'serial'").groupBy("command", "video", "serial").agg(F.max("command_id").alias("command_id"))
+    )
+    columns = ["command", *ENTITY, "command_id"]
+    fresh = _videos(by_video).join(tracked, "video").select(*columns, F.lit("tracked").alias("origin"))
+    held = by_video.where("input = 'entity'").join(stored, "video").select(*columns)
+    one = by_serial.join(stored, list(ENTITY)).select(*columns)
+    return fresh.unionByName(held.unionByName(one).withColumn("origin", F.lit("stored")))
+
+
+def track_rows(tasks: DataFrame, found: DataFrame, root: str, method: str, date: str) -> DataFrame:
+    """One row for every task and tracked entity that is stored: each task has a path of its own."""
     video = F.col("video")
-    return wanted.select("task", "command", "video").join(found, "video").select(
+    return with_edge(_videos(tasks), "track", "save_track").select("task", "command", "command_id", "video").join(
+        found.drop("boxes"), "video"
+    ).select(
         "*",
         entity_id(video, F.col("serial")).alias("entity_id"),
         F.col("command").alias("data_type"),
@@ -52,36 +103,110 @@ def tracked(
     )
 
 
-def sampled_boxes(entities: DataFrame, samples: int) -> DataFrame:
-    """Boxes of the entities, one per row, where only the sampled ones keep their pixels."""
-    flat = entities.select(*KEYS, "command", F.size("boxes").alias("n"), F.posexplode("boxes").alias("idx", "_b"))
-    return kept_samples(clear_unsampled(flat.select(*KEYS, "command", "n", "idx", "_b.*"), samples, KEYS))
+def sampled_boxes(boxes: DataFrame, samples: int) -> DataFrame:
+    """The boxes that uniform sampling keeps, one per row; ``boxes`` carry their length ``n``."""
+    return kept_samples(clear_unsampled(boxes, samples, ["origin", *ENTITY]))
+
+
+def attributes(boxes: DataFrame, models: Models) -> DataFrame:
+    """Mean attribute scores of every entity over its sampled boxes, as one struct ``attr``."""
+    keys = ["origin", *ENTITY]
+    schema = "origin string, video string, serial long, " + ", ".join(f"{n} double" for n in models.names)
+    scores = score_batches(boxes.select(*keys, "x", "y", "w", "h"), models.recognizer, schema, f"{models.label}-attr")
+    return mean_scores(scores, models.names, keys).select(*keys, F.struct(*models.names).alias("attr"))
+
+
+def features(boxes: DataFrame, models: Models) -> DataFrame:
+    """The feature of every entity, taken from its first sampled box, as one struct ``feature``."""
+    keys = ["origin", *ENTITY]
+    first = boxes.groupBy(*keys).agg(F.min_by(F.struct("x", "y", "w", "h"), "idx").alias("_b")).select(*keys, "_b.*")
+    schema = "origin string, video string, serial long, vec array<float>"
+    made = score_batches(first, models.extracter, schema, f"{models.label}-feature")
+    flagged = feature_update(made.withColumn("reid_feature", encode_feature(F.col("vec"))))
+    return flagged.select(*keys, F.struct(*FEATURE).alias("feature"))
+
 
+def ranks(scores: DataFrame, models: Models) -> DataFrame:
+    """The ids most similar to every entity with scores, as one struct ``rank``."""
+    schema = "origin string, video string, serial long, ids array<long>"
+    made = score_batches(scores, models.reider, schema, f"{models.label}-reid")
+    return made.select("origin", *ENTITY, F.struct(*RANK).alias("rank"))
 
-def scored(boxes: DataFrame, recognizer, names: Sequence[str], model: str) -> DataFrame:
-    """Mean attribute scores of every entity over its sampled boxes."""
-    schema = ", ".join([*(f"{k} string" for k in KEYS), *(f"{n} double" for n in names)])
-    return mean_scores(score_batches(boxes.select(*KEYS, "x", "y", "w", "h"), recognizer, schema, model), names, KEYS)
+
+def _only(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    keys = ["origin", *ENTITY]
+    return rows.join(asked.select(*keys).distinct(), keys, "left_semi")
+
+
+def _group(rows: DataFrame, asked: DataFrame, name: str) -> DataFrame:
+    """What a model found for the entities, as updates of the commands that store it."""
+    joined = asked.join(rows, ["origin", *ENTITY])
+    return joined.select(
+        entity_id(F.col("video"), F.col("serial")).alias("entity_id"),
+        F.col("command").alias("data_type"),
+        name,
+        F.col("command_id").alias("seq"),
+    )
 
 
 def entity_updates(
     commands: DataFrame,
     files: DataFrame,
-    tracker: Tracker,
-    recognizer,
-    names: Sequence[str],
-    model: str,
+    models: Models,
+    stored_boxes: DataFrame,
+    stored_attrs: DataFrame,
     root: str = "/meta/",
     method: str = "ssd",
     date: str = "1970-01-01",
-    samples: int = 5,
+    keep: Callable[[DataFrame], DataFrame] = kept,
 ) -> DataFrame:
-    """What the commands store, in merge form, following the edges of their plans."""
-    entities = tracked(fan_out(commands, files), tracker, root, method, date)
-    track = as_group(with_edge(entities, "track", "save_track"), "track", TRACK, F.lit(1))
-    to_score = with_edge(with_edge(entities, "track", "attr"), "attr", "save_attr")
-    attrs = scored(sampled_boxes(to_score, samples), recognizer, names, model)
-    return track.unionByName(as_group(attrs, "attr", names, F.lit(2)), allowMissingColumns=True)
+    """What all commands store, in merge form: groups track, attr, feature and rank.
+
+    ``stored_boxes`` is (video, serial, idx, n, x, y, w, h, patch) and
+    ``stored_attrs`` (video, serial, scores), as they were stored before.
+    Commands over videos track first; a video that several commands name is
+    tracked once. Commands over stored entities use those of their videos, and
+    the commands with a serial that one entity. Re-identification ranks by the
+    scores of its own plan where attributes feed it, else by the stored ones.
+    Every task stores its own track; the last command to ask wins in the merge.
+    ``keep`` stores what a model found, so that it runs once for all that follows.
+    """
+    tasks = fan_out(commands, files)
+    found = keep(models.tracker(_videos(tasks).select("video").distinct()))
+    held = stored_boxes.select(*ENTITY).distinct()
+    asked = keep(asked_entities(tasks, found.select(*ENTITY), held))
+
+    to_score = _saved(asked, "attr")
+    to_extract = _saved(asked, "feature")
+    to_rank = _saved(asked, "reid")
+    with_scores = to_rank.join(F.broadcast(_fed_by_attr(tasks)), "command", "left_semi")
+    without = to_rank.join(F.broadcast(_fed_by_attr(tasks)), "command", "left_anti")
+
+    columns = ["origin", *ENTITY, "idx", "n", "x", "y", "w", "h", "patch"]
+    fresh = found.select(*ENTITY, F.size("boxes").alias("n"), F.posexplode("boxes").alias("idx", "_b"))
+    fresh = fresh.select(F.lit("tracked").alias("origin"), *ENTITY, "idx", "n", "_b.*").select(*columns)
+    boxes = fresh.unionByName(stored_boxes.withColumn("origin", F.lit("stored")).select(*columns))
+    boxes = sampled_boxes(_only(boxes, to_score.unionByName(to_extract).unionByName(with_scores)), models.samples)
+
+    scores = keep(attributes(_only(boxes, to_score.unionByName(with_scores)), models))
+    old = stored_attrs.select(F.lit("stored").alias("origin"), *ENTITY, *models.names)
+    new = _only(scores, with_scores).select("origin", *ENTITY, "attr.*")
+
+    parts = [
+        _group(scores, to_score, "attr"),
+        _group(features(_only(boxes, to_extract), models), to_extract, "feature"),
+        _group(ranks(new, models), with_scores, "rank"),
+        _group(ranks(_only(old, without), models), without, "rank"),
+    ]
+    out = as_group(track_rows(tasks, found, root, method, date), "track", TRACK, F.col("command_id"))
+    for part in parts:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _fed_by_attr(tasks: DataFrame) -> DataFrame:
+    """Commands in whose plan attributes feed re-identification."""
+    return edge_table(tasks.sparkSession).where("src = 'attr' AND dst = 'reid'").select("command")
 
 
 def command_saver(table: str, files: Callable[[], DataFrame], **how) -> Callable[[DataFrame, int], None]:

@@ -50,6 +50,20 @@ def _edge_rows():
             yield command, src, dst, NODE_OUTPUT[src], EDGE_PORT[src, dst]
 
 
+# What each command stores, written out from the plans: track, attributes, feature, ranks, ranks by old attributes.
+_FLOW = """
+    ('track', true, false, false, false, false),
+    ('track-attrrecog', false, false, false, false, false),
+    ('track-reidfeature', false, false, false, false, false),
+    ('track-reid', true, false, true, false, false),
+    ('track-attrrecog-reid', true, true, false, true, false),
+    ('track-attrrecog-reidfeature', true, true, true, false, false),
+    ('attrrecog-reidfeature', false, true, true, false, false),
+    ('attrrecog', false, true, false, false, false),
+    ('attrrecog-reid', false, true, false, true, false),
+    ('reid', false, false, false, true, true),
+    ('reidfeature', false, false, true, false, false)"""
+
 # Each entry may use the entries above it.
 _WITH = {
     "event_k": "event_k as (select *, cast(json_extract_string(props, '$.k') as bigint) as k from events)",
@@ -512,31 +526,61 @@ _SELECT = {
                   case when o_orderkey % 4 > 0 then o_orderkey % 100 / 100.0::double end as score from orders""",
     ),
     "command_flow": (
-        "event_k message command known edge entity file task",
-        f"""select e.video || '_tarid' || serial as entity_id, e.command as data_type,
-                   '/meta/result/ssd/2018-05-09/' || e.video || '/' || task || '/' || serial as path,
-                   strftime(strptime(split_part(e.video, '-', 2), {STAMP}) + to_seconds(start_frame * 2 // 25), {STAMP})
-                   as start_time, num, """
-        + ", ".join(
-            f"""case when e.command in (select command from edge where src = 'track' and dst = 'attr')
-                      and e.command in (select command from edge where src = 'attr' and dst = 'save_attr')
-                     then cast(s{i} as double) / n_kept else -1 end as {a}"""
-            for i, a in enumerate(ATTRS)
-        )
-        + f""" from (select command, video, arg_max(task, command_id) as task from task
-                     where input = 'video' and command like 'track%' group by command, video) e
-               join (select *, 3 + mark % 30 as num, 1 + (mark * 31 + serial * 17) % 10000 as start_frame,
-                            1 + (mark + serial * 7) % 31 as n_boxes
-                     from (select distinct video, cast(split_part(video, '-', 2) as bigint) % 97 as mark from entity),
-                          range(32) as r(serial) where serial < 3 + mark % 30) v on e.video = v.video
-               join (select n, count(*) as n_kept, """
-        + ", ".join(
-            f"cast(sum((idx * 31 + idx * 2 * 17 + 21 + (idx + 1) * 3 + {i * 13}) % 1000) as bigint) as s{i}"
-            for i in range(len(ATTRS))
-        )
-        + f""" from (select idx, n from range(32) as a(n), range(32) as b(idx) where idx < n)
-               where {_keeps(5)} group by n) k on k.n = v.n_boxes
-           where e.command in (select command from edge where src = 'track' and dst = 'save_track')""",
+        "event_k message command known entity numbered file task box patched means",
+        f"""select * from (
+            with flow(command, track, attr, feature, rank, old) as (values {_FLOW}),
+            found as (
+                select *, 1 + (mark * 31 + serial * 17) % 10000 as start_frame, 1 + (mark + serial * 7) % 31 as n
+                from (select *, 3 + mark % 30 as num
+                      from (select distinct video, cast(split_part(video, '-', 2) as bigint) % 97 as mark from entity)),
+                     range(32) as r(serial) where serial < num),
+            asked as (
+                select command, video, serial, max(command_id) as command_id, origin from (
+                    select t.command, t.video, v.serial, command_id, 'tracked' as origin
+                    from task t join found v on t.video = v.video where input = 'video' and t.command like 'track%'
+                    union all
+                    select t.command, t.video, e.serial, command_id, 'stored' as origin
+                    from task t join numbered e on t.video = e.video and (t.input = 'entity' or t.serial = e.serial)
+                    where input in ('entity', 'serial') and e.entity in (select entity from box))
+                group by command, video, serial, origin),
+            tracks as (
+                select t.command, t.video, v.serial, start_frame, num, arg_max(task, command_id) as task
+                from task t join found v on t.video = v.video join flow f on f.command = t.command and f.track
+                group by t.command, t.video, v.serial, start_frame, num),
+            sampled as (
+                select 'tracked' as origin, video, serial, idx, idx as x, idx * 2 as y, 3 as w, idx + 1 as h
+                from found, range(32) as b(idx) where idx < n and {_keeps(5)}
+                union all
+                select 'stored', video, serial, idx, x, y, w, h from box join numbered using (entity)
+                where {_keeps(5)} and w * h <> 0),
+            based as (select *, x * 31 + y * 17 + w * 7 + h * 3 as base from sampled),
+            score as (select origin, video, serial, arg_min(base, idx) as first_base, """
+        + ", ".join(f"cast(sum((base + {i * 13}) % 1000) as double) / count(*) as {a}" for i, a in enumerate(ATTRS))
+        + f""" from based group by origin, video, serial),
+            old as (select video, serial, s1 from means join numbered using (entity)),
+            mark as (
+                select a.*, f.track, f.attr, f.feature, s.* exclude (origin, video, serial),
+                       case when f.rank and not f.old
+                            then cast(floor({ATTRS[0]}) as bigint) * 31 + cast(floor({ATTRS[-1]}) as bigint)
+                            when f.rank then cast(floor(o.s1) as bigint) * 31
+                                        + cast(floor(o.s1 + {len(ATTRS) - 1}) as bigint) end as rank_base
+                from asked a join flow f on f.command = a.command
+                left join score s on s.origin = a.origin and s.video = a.video and s.serial = a.serial
+                left join old o on a.origin = 'stored' and o.video = a.video and o.serial = a.serial)
+            select m.video || '_tarid' || m.serial as entity_id, m.command as data_type,
+                   coalesce('/meta/result/ssd/2018-05-09/' || m.video || '/' || task || '/' || m.serial, '') as path,
+                   coalesce(strftime(strptime(split_part(m.video, '-', 2), {STAMP}) + to_seconds(start_frame * 2 // 25),
+                                     {STAMP}), '') as start_time,
+                   coalesce(num, -1) as num, """
+        + ", ".join(f"case when attr then coalesce({a}, -1) else -1 end as {a}" for a in ATTRS)
+        + """, case when feature then coalesce(first_base % 256 / 256.0::double, -1) else -1 end as feature_first,
+                   case when feature then coalesce((first_base + 127) % 256 / 256.0::double, -1) else -1 end as feature_last,
+                   feature and first_base is not null as is_finish,
+                   coalesce(array_to_string([(rank_base + j * 7) % 10000 for j in range(10)
+                                             if rank_base is not null], ','), '') as ids
+            from mark m left join tracks t on t.command = m.command and t.video = m.video and t.serial = m.serial
+            where m.track or (attr and first_base is not null) or (feature and first_base is not null)
+                  or rank_base is not null)""",
     ),
     "scores_hook": (
         "box patched kept",

@@ -3,8 +3,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sightline.operators import scoring
-from sightline.operators.entities import KEYS
 from sightline.plans import flow
+from sightline.plans.commands import COMMANDS
 from sightline.schema import ATTRS
 from sightline.sources import upserts
 
@@ -19,9 +19,17 @@ def _tracker(videos):
     return found.withColumn("boxes", F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_boxes") - 1), box)).drop("n_boxes")
 
 
-def _how(names):
-    return dict(
-        tracker=_tracker, recognizer=scoring.stand_in_recognizer(names, KEYS), names=names, model="flow-125", samples=5
+KEYS = ("origin", "video", "serial")
+
+
+def _models(names):
+    return flow.Models(
+        tracker=_tracker,
+        recognizer=scoring.stand_in_recognizer(names, KEYS),
+        extracter=scoring.stand_in_extracter(keys=KEYS),
+        reider=scoring.stand_in_reider(names, KEYS),
+        names=names,
+        label="flow-test",
     )
 
 
@@ -39,36 +47,67 @@ def _kept(n):
     return [i for i in range(n) if (i - start) % step == 0]
 
 
+# Which groups each command stores.
+STORES = {
+    "track": {"track"},
+    "track-attrrecog": set(),
+    "track-reidfeature": set(),
+    "track-reid": {"track", "feature"},
+    "track-attrrecog-reid": {"track", "attr", "rank"},
+    "track-attrrecog-reidfeature": {"track", "attr", "feature"},
+    "attrrecog-reidfeature": {"attr", "feature"},
+    "attrrecog": {"attr"},
+    "attrrecog-reid": {"attr", "rank"},
+    "reid": {"rank"},
+    "reidfeature": {"feature"},
+    "detection": set(),
+    "faster": set(),
+    "imgclassification": set(),
+}
+
+
 def test_commands_to_entities(spark, tmp_path):
-    commands = spark.createDataFrame(
-        [
-            (1, "track", "/v/CAM01"),
-            (2, "track-attrrecog-reidfeature", "/v"),
-            (3, "track-attrrecog", "/v"),
-            (4, "detection", "/v"),
-            (5, "bogus", "/v"),
-        ],
-        "command_id long, command string, target string",
-    )
+    assert set(STORES) == set(COMMANDS)
+    rows = [(i, c, "/v", 1) for i, c in enumerate(STORES)] + [(90, "track", "/v/CAM01", 1), (91, "bogus", "/v", 1)]
+    commands = spark.createDataFrame(rows, "command_id long, command string, target string, serial long")
     files = spark.createDataFrame([(f"/v/{v[:5]}/2024-01-01/{v}.mp4",) for v in VIDEOS], "path string")
-    names = list(ATTRS)
+    names = list(ATTRS)[:4]
+    held = [(VIDEOS[0], s, i, 3, i, 2, 3, 4, b"p") for s in (0, 1) for i in range(3)]
+    held = spark.createDataFrame(
+        held, "video string, serial long, idx int, n int, x long, y long, w long, h long, patch binary"
+    )
+    old = spark.createDataFrame([(VIDEOS[0], 1, 2.5, 0.0, 0.0, 7.5)], "video string, serial long, " + ", ".join(f"{n} double" for n in names))
     table = str(tmp_path / "entities")
-    save = flow.command_saver(table, lambda: files, **_how(names))
+    save = flow.command_saver(table, lambda: files, models=_models(names), stored_boxes=held, stored_attrs=old)
     save(commands, 0)
     save(commands, 0)
-    got = upserts.read_entities(spark, table, ["track", "attr"])
+    got = upserts.read_entities(spark, table, ["track", "attr", "feature", "rank"])
     rows = {(r.entity_id, r.data_type): r for r in got.collect()}
 
-    # Tracking is stored for the commands that save it, scores only where both edges exist.
-    want = {("track", VIDEOS[0])} | {("track-attrrecog-reidfeature", v) for v in VIDEOS}
-    assert set(rows) == {(f"{v}_tarid{s}", c) for c, v in want for s in _expected(v)}
-    for (entity, label), r in rows.items():
+    tracked = {(v, s) for v in VIDEOS for s in _expected(v)}
+    want = {}
+    for command, groups in STORES.items():
+        level = COMMANDS[command][0]
+        on = tracked if level == "video" else {(VIDEOS[0], 0), (VIDEOS[0], 1)} if level == "entity" else {(VIDEOS[0], 1)}
+        want |= {(f"{v}_tarid{s}", command): groups for v, s in on if groups}
+    assert {k: {g for g in ("track", "attr", "feature", "rank") if r[g] is not None} for k, r in rows.items()} == want
+
+    paths = {r.track.path for (e, c), r in rows.items() if c == "track" and e.startswith("CAM01")}
+    own = commands.sparkSession.sql(f"select md5('90|/v/CAM01/2024-01-01/{VIDEOS[0]}.mp4') as t").first().t
+    assert paths and all(f"/{own}/" in p for p in paths), "the last task to ask wins"
+    for (entity, command), r in rows.items():
         video, serial = entity.split("_tarid")
+        fresh = COMMANDS[command][0] == "video"
         num, start_frame, n_boxes = _expected(video)[int(serial)]
-        assert (r.track.num, r.track.start_frame, r.track.cam) == (num, start_frame, video[:5])
-        assert (r.attr is None) == (label == "track")
+        boxes = [(i, i * 2, 3, i + 1) for i in _kept(n_boxes)] if fresh else [(i, 2, 3, 4) for i in range(3)]
+        base = [x * 31 + y * 17 + w * 7 + h * 3 for x, y, w, h in boxes]
+        scores = [sum((b + 13 * i) % 1000 for b in base) / len(base) for i in range(4)]
+        if r.track is not None:
+            assert (r.track.num, r.track.start_frame, r.track.cam) == (num, start_frame, video[:5])
         if r.attr is not None:
-            scores = [(i * 31 + i * 2 * 17 + 3 * 7 + (i + 1) * 3 + 13 * 2) % 1000 for i in _kept(n_boxes)]
-            assert abs(r.attr[names[2]] - sum(scores) / len(scores)) < 1e-9
-    late = [r.track.start_time for (e, _), r in rows.items() if e.startswith("CAM01") and r.track.start_frame >= 750]
+            assert list(r.attr) == scores
+        if r.rank is not None:
+            first, last = (2, 7) if command == "reid" else (int(scores[0]), int(scores[3]))
+            assert r.rank.ids == [(first * 31 + last + 7 * j) % 10_000 for j in range(10)]
+    late = [r.track.start_time for (e, _), r in rows.items() if r.track and e.startswith("CAM01") and r.track.start_frame >= 750]
     assert late and all(t.startswith("20240102") for t in late)
