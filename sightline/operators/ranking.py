@@ -36,7 +36,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     # Stops reading as soon as there are enough rows.
     if len(probe.take(limit + 1)) <= limit:
         return None
-    hot = probe.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
+    # Fixed on disk, so that it is counted once and all who use it see the same keys.
+    hot = kept(probe.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
     return None if hot.isEmpty() else hot
 
 
@@ -47,18 +48,23 @@ def number_rows(
     index: str = "idx",
     total: str | None = None,
     hot_rows: int = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each key 0..n-1 in ``order``; ``total`` adds n.
 
+    ``probe`` holds the keys of at least the same rows and is cheaper to read
+    than ``df``, such as the stored rows that ``df`` is derived from; with it
+    ``df`` is computed once. Keys that are hot only there cost time, never rows.
+
     Rows of one key meet in one task only while the key is small. The rows of a
     hot key are cut into ordered ranges that are numbered apart and shifted by
     the size of the ranges before them.
     """
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df if probe is None else probe, keys, hot_rows)
     if hot is None:
         return _number_small(df, keys, order, index, total)
-    # Fixed on disk, so that both sides of the split see the same keys.
-    hot = kept(hot)
+    # Computed once for both sides of the split and for the bounds of the ranges.
+    df = kept(df)
     match = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
     small = df.alias("d").join(hot.alias("h"), match, "left_anti")
     large = df.alias("d").join(hot.alias("h"), match, "left_semi")
@@ -119,10 +125,11 @@ def recent_signals(signals: DataFrame, id_col: str = "task", ts_col: str = "ts",
     return latest.orderBy(F.desc(ts_col), F.asc(id_col)).limit(size)
 
 
-def ranked_links(links: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Out-links of every node, most similar first; ties by target."""
+def ranked_links(links: DataFrame, hot_rows: int = HOT_ROWS, probe: DataFrame | None = None) -> DataFrame:
+    """Out-links of every node, most similar first; ties by target. For ``probe`` see :func:`number_rows`."""
     order = [F.desc("sim"), F.asc("dst")]
-    ranked = number_rows(links.select("src", "dst", "sim"), ["src"], order, index="rank", hot_rows=hot_rows)
+    links = links.select("src", "dst", "sim")
+    ranked = number_rows(links, ["src"], order, index="rank", hot_rows=hot_rows, probe=probe)
     return ranked.withColumn("rank", F.col("rank") + 1)
 
 

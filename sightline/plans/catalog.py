@@ -490,7 +490,7 @@ def latest_per_node(t: Tables) -> DataFrame:
 @query
 def ranked_links(t: Tables) -> DataFrame:
     last = J.valid_edges(t.links(), t.features(), ["at", "o1", "o2", "o3"])
-    return W.ranked_links(last, hot_rows=t.hot_rows)
+    return W.ranked_links(last, hot_rows=t.hot_rows, probe=t.links())
 
 
 @query

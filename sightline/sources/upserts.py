@@ -38,6 +38,14 @@ def read_entities(
     return merge_updates(read_updates(spark, root, schema), groups, keys)
 
 
+def lookup_entities(
+    spark: SparkSession, root: str, probes: DataFrame, groups: Sequence[str], keys: Sequence[str] = KEYS, schema=None
+) -> DataFrame:
+    """The stored entities with the probed keys; only their updates are merged, all others go before the shuffle."""
+    updates = read_updates(spark, root, schema)
+    return merge_updates(updates.join(probes.select(*keys).distinct(), list(keys), "left_semi"), groups, keys)
+
+
 def read_edges(spark: SparkSession, root: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Stored edges from time buckets to entities; an edge that several batches created counts once."""
     return spark.read.parquet(root).drop("batch_id").dropDuplicates(["bucket_start", *keys])

@@ -120,3 +120,25 @@ def test_signal_pool_keeps_the_last_hundred(spark):
 def test_links_of_one_node(spark):
     links = spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.9), (2, 1, 0.1)], "src long, dst long, sim double")
     assert [(r.dst, r.sim) for r in W.links_of(links, 1).collect()] == [(3, 0.9), (2, 0.5)]
+
+
+def test_numbering_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    plain = spark.range(1000).select((F.col("id") % 3 * (F.col("id") % 2)).alias("k"), "id")
+    df = plain.mapInPandas(count, "k long, id long")
+    for hot_rows in (10_000, 100):
+        before = seen.value
+        numbered = W.number_rows(df, ["k"], [F.asc("id")], total="n", hot_rows=hot_rows, probe=plain)
+        rows = numbered.collect()
+        assert seen.value - before == 1000
+        assert len(rows) == 1000
+        for k in (0, 1, 2):
+            own = sorted((r.idx, r.id, r.n) for r in rows if r.k == k)
+            assert [i for i, _, _ in own] == list(range(len(own))) and {n for _, _, n in own} == {len(own)}
+            assert [i for _, i, _ in own] == sorted(i for _, i, _ in own)

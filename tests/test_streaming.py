@@ -208,6 +208,12 @@ def test_savers_share_a_batch_and_repeat_safely(spark, tmp_path):
     assert [tuple(r) for r in placed.select("bucket_start", "entity_id").collect()] == [(202401010000, "e1")]
     assert [tuple(r) for r in bucket_counts(placed).collect()] == [(202401010000, 1)]
 
+    probes = spark.createDataFrame([("e2", "p"), ("e2", "p"), ("e9", "p")], "entity_id string, data_type string")
+    found = upserts.lookup_entities(spark, table, probes, list(GROUPS))
+    assert [(r.entity_id, r.s1) for r in found.select("entity_id", "attr.s1").collect()] == [("e2", 0.5)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi"), "the filter is below the merge"
+
     target = str(tmp_path / "compacted")
     upserts.compact(spark, table, target, list(GROUPS))
     again = upserts.read_entities(spark, target, list(GROUPS))
