@@ -77,6 +77,7 @@ COMMANDS = {
 # Known commands without an implementation.
 NOT_IMPLEMENTED = ["rttrack", "rt-track-attrrecog-reid"]
 
+# The node at which a port enters a plan.
 _START_NODE = {
     "hdfs-video-url-for-pedestrian-tracking": "track",
     "hdfs-video-url-for-pedestrian-detection": "detect",

@@ -88,7 +88,7 @@ BOX = T.StructType([
     T.StructField("height", T.IntegerType()),
 ])
 
-# One-line JSON header of a stored entity.
+# The field names of the one-line JSON header of a stored entity.
 HEADER = T.StructType([
     T.StructField("id", T.StructType([
         T.StructField("video-url", T.StringType()),
@@ -99,7 +99,7 @@ HEADER = T.StructType([
     T.StructField("bounding-boxes", T.ArrayType(BOX)),
 ])
 
-# One JSON line per stored sample; all values are text.
+# The field names of the JSON line of a stored sample; all values are text.
 SAMPLE_LINE = T.StructType([
     T.StructField(name, T.StringType()) for name in ("idx", "x", "y", "width", "height", "data")
 ])
@@ -124,34 +124,103 @@ DETECTIONS = T.ArrayType(T.StructType([
     T.StructField("score", T.FloatType()),
 ]))
 
-DEVICE = T.StructType([
-    T.StructField("index", T.IntegerType()),
-    T.StructField("fanSpeed", T.IntegerType()),
-    T.StructField("utilRate", T.IntegerType()),
-    T.StructField("usedMem", T.LongType()),
-    T.StructField("totalMem", T.LongType()),
-    T.StructField("temp", T.IntegerType()),
-    T.StructField("powerUsage", T.IntegerType()),
-])
+_INT, _LONG, _TEXT = T.IntegerType(), T.LongType(), T.StringType()
 
-PROCESS = T.StructType([
-    T.StructField("index", T.IntegerType()),
-    T.StructField("pid", T.IntegerType()),
-    T.StructField("usedGpuMemory", T.LongType()),
-])
+
+def _row(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+# The field names of reports and run logs.
+PROCESS = _row(index=_INT, pid=_INT, usedGpuMemory=_LONG)
+
+DEVICE = _row(
+    index=_INT,
+    fanSpeed=_INT,
+    utilRate=_INT,
+    usedMem=_LONG,
+    totalMem=_LONG,
+    temp=_INT,
+    slowDownTemp=_INT,
+    shutdownTemp=_INT,
+    powerUsage=_INT,
+    powerLimit=_INT,
+    infoCount=_INT,
+    processNumList=T.ArrayType(_INT),
+    processesDevInfosList=T.ArrayType(PROCESS),
+)
 
 # One node's own report.
-SERVER_REPORT = T.StructType([
-    T.StructField("nodeName", T.StringType()),
-    T.StructField("ip", T.StringType()),
-    T.StructField("usedMem", T.LongType()),
-    T.StructField("physicTotalMem", T.LongType()),
-    T.StructField("procCpuLoad", T.IntegerType()),
-    T.StructField("sysCpuLoad", T.IntegerType()),
-    T.StructField("cpuNum", T.IntegerType()),
-    T.StructField("deviceCount", T.IntegerType()),
-    T.StructField("devNumList", T.ArrayType(T.IntegerType())),
-    T.StructField("processNumAllList", T.ArrayType(T.IntegerType())),
-    T.StructField("processAllList", T.ArrayType(PROCESS)),
-    T.StructField("devInfosList", T.ArrayType(DEVICE)),
-])
+SERVER_REPORT = _row(
+    nodeName=_TEXT,
+    ip=_TEXT,
+    usedMem=_LONG,
+    jvmMaxMem=_LONG,
+    jvmTotalMem=_LONG,
+    physicTotalMem=_LONG,
+    procCpuLoad=_INT,
+    sysCpuLoad=_INT,
+    cpuNum=_INT,
+    cpuCore=_INT,
+    cpuVirtualNum=_INT,
+    deviceCount=_INT,
+    devNumList=T.ArrayType(_INT),
+    processNumAllList=T.ArrayType(_INT),
+    processAllList=T.ArrayType(PROCESS),
+    devInfosList=T.ArrayType(DEVICE),
+)
+
+# One container, with the devices its process uses.
+CONTAINER_REPORT = _row(
+    applicationId=_TEXT,
+    applicationAttemptId=_TEXT,
+    containerId=_TEXT,
+    appName=_TEXT,
+    state=_TEXT,
+    allocatedMemory=_INT,
+    allocatedCpu=_INT,
+    nodeName=_TEXT,
+    pid=_INT,
+    indexList=T.ArrayType(_INT),
+    usedGpuMemoryList=T.ArrayType(_LONG),
+)
+
+# The nodes and applications of a cluster.
+CLUSTER_REPORT = _row(
+    nodeInfosList=T.ArrayType(
+        _row(name=_TEXT, capabilityCpu=_INT, capabilityMemory=_INT, usedCpu=_INT, usedMemory=_INT)
+    ),
+    applicationInfosList=T.ArrayType(
+        _row(
+            applicationId=_TEXT,
+            appName=_TEXT,
+            neededResourceMemory=_INT,
+            neededResourceVcore=_INT,
+            usedResourceMemory=_INT,
+            usedResourceVcore=_INT,
+            reservedResourceMemory=_INT,
+            reservedResourceVcore=_INT,
+            containerInfosList=T.ArrayType(CONTAINER_REPORT),
+            containerIdList=T.ArrayType(_TEXT),
+        )
+    ),
+    containerIdAllList=T.ArrayType(_TEXT),
+)
+
+# One row of the run log.
+RUN = _row(
+    taskID=_TEXT,
+    videoName=_TEXT,
+    type=_TEXT,
+    nodeName=_TEXT,
+    trackletSize=_INT,
+    trackletId=_TEXT,
+    gpu=_TEXT,
+    nodeName_gpu=_TEXT,
+    isMultiGpu=_TEXT,
+    startEachTime=_LONG,
+    endEachTime=_LONG,
+    borrowObjectTime=_LONG,
+    end_start=_LONG,
+    pid=_LONG,
+)

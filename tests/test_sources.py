@@ -5,7 +5,9 @@ import os
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sightline import schema
 from sightline.operators import aggregates as G
 from sightline.operators import scoring
 from sightline.operators import reports
@@ -159,3 +161,21 @@ def test_partition_sizes(spark):
     sizes = G.partition_sizes(spark.range(100, numPartitions=4))
     assert sorted(r.n_rows for r in sizes.collect()) == [25, 25, 25, 25]
     assert [r[0] for r in G.first_column(spark.sql("select 1 as a, 2 as b")).collect()] == [1]
+
+
+def _sample(kind):
+    """A value of a row type, with something in every field."""
+    if isinstance(kind, T.StructType):
+        return tuple(_sample(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return [_sample(kind.elementType)]
+    return "x" if isinstance(kind, T.StringType) else 7
+
+
+@pytest.mark.parametrize("name", ["SERVER_REPORT", "CONTAINER_REPORT", "CLUSTER_REPORT", "RUN"])
+def test_report_rows_survive_json(spark, name):
+    kind = getattr(schema, name)
+    rows = spark.createDataFrame([_sample(kind), tuple(None for _ in kind)], kind)
+    sent = rows.select(F.to_json(F.struct("*")).alias("value"))
+    back = sent.select(F.from_json("value", kind).alias("r")).select("r.*")
+    assert back.schema == kind and back.collect() == rows.collect()
