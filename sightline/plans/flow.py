@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sightline.functions.names import entity_id, start_time, store_path, video_part
 from sightline.functions.vectors import encode_feature
 from sightline.operators.aggregates import mean_scores
-from sightline.operators.entities import FEATURE, KEYS, as_group, feature_update
+from sightline.operators.entities import FEATURE, as_group, feature_update
 from sightline.operators.scoring import score_batches
 from sightline.operators.sequences import clear_unsampled, kept_samples
 from sightline.plans.commands import edge_table, entry_table, fan_out
