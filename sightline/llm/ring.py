@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.llm.common import stored
+
 CELLS = 1 << 14
 VIRTUAL_NODES = 128
 
@@ -125,6 +127,9 @@ def assign(
     # The row number keeps apart equal rows of a key that fills several tasks.
     spread = F.xxhash64(F.monotonically_increasing_id()) if parts > 1 else F.lit(0)
     placed = placed.withColumn("_part", F.pmod(spread, F.lit(parts)).cast("int")).withColumn("_own", own)
+    if parts > 1:
+        # Row numbers may change when a lost task is run again, so the rows keep those they were dealt by.
+        placed = stored(placed, "ring")
     by_part = Window.partitionBy("_cell", "_part").orderBy("_own", *[F.col(f"`{c}`") for c in rows.columns])
     placed = placed.withColumn("_rank", F.row_number().over(by_part).cast("long") - 1)
 
