@@ -14,11 +14,13 @@ from sightline.functions.names import time_key
 from sightline.functions.vectors import dot
 from sightline.operators.ranking import top_per_key
 
-# Probes up to this size go to every task; beyond it blocks of both sides meet.
+# Probes up to this size go to every task; beyond it blocks of them are held while the gallery passes.
 BROADCAST_BYTES = 8 << 20
 
-# Size of one block of vectors, and of the similarity matrix held at a time.
+# Size of one block of probes, and of the similarity matrix held at a time.
 BLOCK_BYTES = 64 << 20
+# Gallery that one task reads past a block of probes.
+SLICE_BYTES = 1 << 30
 TILE_CELLS = 4_000_000
 
 # Similarities that agree to this many decimals count as equal.
@@ -74,19 +76,22 @@ def topk_similar(
     skip_self: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The ``k`` rows of ``gallery`` most similar to each probe, exactly; both are (id, vec).
 
     Few probes travel to the gallery's tasks, which need no shuffle. Many are
-    cut into blocks, as is the gallery, and each pair of blocks is one group of
-    known size. Either way a task multiplies matrices and passes on ``k`` rows
-    per probe, never the pairs. Vectors without a direction match nothing.
+    cut into blocks that are held one at a time, while a slice of the gallery
+    streams past: the gallery is copied once per block, the probes only once
+    per slice, which is much larger. Either way a task multiplies matrices and
+    passes on ``k`` rows per probe, never the pairs. Vectors without a
+    direction match nothing.
     """
     size = _vector_bytes(probes)
     if size <= broadcast_bytes:
         found = _topk_broadcast(probes, gallery, k, skip_self)
     else:
-        found = _topk_blocks(probes, gallery, k, skip_self, max(1, math.ceil(size / block_bytes)), block_bytes)
+        found = _topk_blocks(probes, gallery, k, skip_self, max(1, math.ceil(size / block_bytes)), slice_bytes)
     return top_per_key(found, ["probe"], [F.desc("sim"), F.asc("id")], k)
 
 
@@ -112,25 +117,44 @@ def _topk_broadcast(probes, gallery, k, skip_self):
     return gallery.select("id", "vec").mapInPandas(run, CANDIDATE)
 
 
-def _topk_blocks(probes, gallery, k, skip_self, n_p, block_bytes):
-    n_g = max(1, math.ceil(_vector_bytes(gallery) / block_bytes))
+def _topk_blocks(probes, gallery, k, skip_self, n_p, slice_bytes):
+    """Every block of probes with every slice of the gallery; a slice streams past the block and is never held."""
+    n_s = max(1, math.ceil(_vector_bytes(gallery) / slice_bytes))
+    own = F.xxhash64("id", "vec")
 
-    def blocks(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.select(
-            "id",
-            "vec",
-            F.pmod(F.xxhash64("id"), F.lit(n_own)).alias(own),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint"))).alias(other),
-        )
+    def dealt(df: DataFrame, side: int, block, part) -> DataFrame:
+        at = (F.col("_block") * n_s + F.col("_slice")).cast("long")
+        rows = df.select("id", "vec", block.alias("_block"), part.alias("_slice"))
+        return rows.select(at.alias("_at"), F.lit(side).alias("_side"), "id", "vec")
 
-    left = blocks(probes, "_p", n_p, "_g", n_g).groupBy("_p", "_g")
-    right = blocks(gallery, "_g", n_g, "_p", n_p).groupBy("_p", "_g")
+    def each(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
-    def run(p: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        ids = p["id"].to_numpy("int64"), g["id"].to_numpy("int64")
-        return _cut(list(_best(ids[0], _unit(p["vec"]), ids[1], _unit(g["vec"]), k, skip_self)), k)
+    held = dealt(probes, 0, F.pmod(own, F.lit(n_p)), each(n_s))
+    passing = dealt(gallery, 1, each(n_p), F.pmod(own, F.lit(n_s)))
 
-    return left.cogroup(right).applyInPandas(run, CANDIDATE)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, block, ready, best = None, [], None, []
+        for batch in batches:
+            for place, rows in batch.groupby("_at"):
+                if place != at:
+                    yield from best
+                    at, block, ready, best = place, [], None, []
+                first = rows["_side"] == 0
+                if first.any():
+                    block.append(rows[first])
+                rows = rows[~first]
+                if block and len(rows):
+                    whole = pd.concat(block)
+                    ready, block = (whole["id"].to_numpy("int64"), _unit(whole["vec"])), []
+                if ready and len(rows):
+                    best += _best(*ready, rows["id"].to_numpy("int64"), _unit(rows["vec"]), k, skip_self)
+                    best = [_cut(best, k)]
+        yield from best
+
+    # Probes come before the gallery in each group.
+    rows = held.unionByName(passing).repartition("_at").sortWithinPartitions("_at", "_side")
+    return rows.mapInPandas(run, CANDIDATE)
 
 
 def rank_lists(top: DataFrame) -> DataFrame:

@@ -221,7 +221,10 @@ def _features(spark, n, seed, copies=0):
     return vecs, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "id long, vec array<float>")
 
 
-@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0, "block_bytes": 2500}])
+MANY_BLOCKS = {"broadcast_bytes": 0, "block_bytes": 700, "slice_bytes": 2500}
+
+
+@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0, "block_bytes": 2500}, MANY_BLOCKS])
 def test_topk_brute_force(spark, how):
     vecs, df = _features(spark, 150, 1)
     unit = vecs.astype("float64")
