@@ -214,14 +214,50 @@ def test_savers_share_a_batch_and_repeat_safely(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Aggregate") < plan.index("LeftSemi"), "the filter is below the merge"
 
-    target = str(tmp_path / "compacted")
-    upserts.compact(spark, table, target, list(GROUPS))
-    again = upserts.read_entities(spark, target, list(GROUPS))
-    assert {r.entity_id: (r.path, r.s1) for r in again.select("entity_id", "track.path", "attr.s1").collect()} == got
-    late = spark.createDataFrame([("e2", "p", 1, "/z", None, None, "t")], MIXED)
-    savers.entity_saver(target, GROUPS)(late, 7)
-    after = upserts.read_entities(spark, target, list(GROUPS)).where("entity_id = 'e2'")
-    assert [tuple(r) for r in after.select("track.path", "attr.s1").collect()] == [("/z", 0.5)]
+    # The last batch with rows stays out of the base, as it may still be written.
+    assert upserts.compact(spark, table, list(GROUPS), buckets=16) == 0
+    current = upserts.current_version(spark, table)
+    assert (current.version, current.last_batch, current.buckets) == (0, 0, 16)
+    assert upserts.compact(spark, table, list(GROUPS), buckets=16) is None
+
+    def entities():
+        rows = upserts.read_entities(spark, table, list(GROUPS)).select("entity_id", "track.path", "attr.s1")
+        return {r.entity_id: (r.path, r.s1) for r in rows.collect()}
+
+    assert entities() == got
+    upsert = savers.entity_saver(table, GROUPS)
+    # A batch that the base already holds changes nothing when it comes again.
+    upsert(spark.createDataFrame([("e1", "p", 1, "/old", None, None, "t")], MIXED), 0)
+    assert entities() == got
+    upsert(spark.createDataFrame([("e2", "p", 1, "/z", None, None, "t")], MIXED), 7)
+    upsert(spark.createDataFrame([("e4", "p", 1, "/y", None, None, "t")], MIXED), 8)
+    want = got | {"e2": ("/z", 0.5), "e4": ("/y", None)}
+    assert entities() == want
+    assert upserts.compact(spark, table, list(GROUPS), buckets=16) == 1
+    assert entities() == want
+
+
+def test_lookup_reads_the_folders_of_its_keys(spark, tmp_path):
+    table = str(tmp_path / "table")
+    upsert = savers.entity_saver(table, GROUPS)
+    for batch in range(3):
+        rows = [(f"e{i}", "p", 1, f"/{batch}/{i}", None, None, "t") for i in range(batch, 200)]
+        upsert(spark.createDataFrame(rows, MIXED), batch)
+    upserts.compact(spark, table, list(GROUPS), buckets=32)
+    current = upserts.current_version(spark, table)
+
+    def files(probes):
+        rows = upserts.base_rows(spark, table, current, probes)
+        return rows.select(F.input_file_name().alias("f")).distinct().count()
+
+    keys = "entity_id string, data_type string"
+    probes = spark.createDataFrame([("e0", "p"), ("e0", "p")], keys)
+    assert files(None) > 25
+    assert files(probes) == 1
+    assert files(spark.createDataFrame([], keys)) == 0
+    found = upserts.lookup_entities(spark, table, probes, list(GROUPS))
+    assert [tuple(r) for r in found.select("entity_id", "track.path").collect()] == [("e0", "/0/0")]
+    assert upserts.lookup_entities(spark, table, spark.createDataFrame([], keys), list(GROUPS)).count() == 0
 
 
 def test_topics_of_one_stream(spark, tmp_path):
