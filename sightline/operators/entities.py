@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.names import packed_path
@@ -61,6 +61,16 @@ def repath_complete(entities: DataFrame, groups: DataFrame, video_root, task: st
     )
 
 
+def archive_updates(entities: DataFrame, groups: DataFrame, video_root, seq, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The archive paths of complete tasks in merge form, as a column group of their own."""
+    return as_group(repath_complete(entities, groups, video_root), "archive", ["path"], seq, keys)
+
+
+def current_path() -> Column:
+    """Where a merged entity lies: in its task's archive once there is one."""
+    return F.coalesce("archive.path", "track.path")
+
+
 def lookup(entities: DataFrame, probes: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Stored values of the probed keys; a missing key gives no row."""
     return probes.select(*keys).distinct().join(entities.select(*keys, *columns), list(keys))

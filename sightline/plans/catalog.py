@@ -435,6 +435,18 @@ def repath_complete(t: Tables) -> DataFrame:
     return moved.select("entity", "path")
 
 
+@query
+def archived_entities(t: Tables) -> DataFrame:
+    """All stored entities after the archive paths of complete tasks were merged into them."""
+    stored = _stored(t)
+    root = F.concat(F.lit("/meta/result/"), F.col("video"))
+    path = F.concat(root, F.lit("/"), F.col("task"), F.lit("/"), F.col("serial").cast("string"))
+    track = E.as_group(stored.withColumn("path", path), "track", ["path", "start_time"], F.lit(1))
+    archive = E.archive_updates(stored, G.complete_groups(stored), root, F.lit(2))
+    merged = E.merge_groups([track, archive], ["track", "archive"])
+    return merged.select("entity_id", "data_type", E.current_path().alias("path"), "track.start_time")
+
+
 @query
 def topic_counts(t: Tables) -> DataFrame:
     counts = G.topic_counts(t.messages())

@@ -406,6 +406,13 @@ _SELECT = {
            from (select *, count(*) over (partition by video) as n_stored from numbered
                  where entity in (select l_orderkey from lineitem)) where n_stored = num""",
     ),
+    "archived_entities": (
+        "entity numbered",
+        """select entity_id, data_type, start_time,
+                  '/meta/result/' || video || '/' || video || case when n_stored = num then '.har/' else '/' end || serial as path
+           from (select *, count(*) over (partition by video) as n_stored from numbered
+                 where entity in (select l_orderkey from lineitem))""",
+    ),
     "topic_counts": (
         "event_k message",
         """select coalesce(topic, 'all') as topic, coalesce("partition", -1) as "partition", count(*) as n_messages

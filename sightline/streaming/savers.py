@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sightline.operators.entities import KEYS, as_group
+from sightline.operators.aggregates import complete_groups
+from sightline.operators.entities import KEYS, archive_updates, as_group
 from sightline.operators.routing import drop_cancelled
 from sightline.operators.timetree import time_bucket_join
 from sightline.sources.upserts import write_updates
@@ -45,6 +46,24 @@ def edge_saver(root: str, buckets: Callable[[], DataFrame], keys: Sequence[str]
     return save
 
 
+def archive_saver(
+    root: str, stored: Callable[[], DataFrame], video_root: Column, keys: Sequence[str] = KEYS
+) -> Saver:
+    """Give the entities of a batch's tasks their archive paths once all members of a task are stored.
+
+    ``stored`` reads what is stored so far: (task, serial, num) and the keys.
+    The paths are updates of the group ``archive`` under ``root``; a task that
+    several batches find complete gets the same paths again.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        members = stored().join(batch.select("task").distinct(), "task", "left_semi")
+        members = members.dropDuplicates(["task", "serial", *keys])
+        write_updates(archive_updates(members, complete_groups(members), video_root, F.lit(0), keys), root, batch_id)
+
+    return save
+
+
 def append_saver(root: str) -> Saver:
     """Keep a batch's rows under its number."""
 

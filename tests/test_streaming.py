@@ -260,6 +260,23 @@ def test_lookup_reads_the_folders_of_its_keys(spark, tmp_path):
     assert upserts.lookup_entities(spark, table, spark.createDataFrame([], keys), list(GROUPS)).count() == 0
 
 
+def test_archive_paths_once_a_task_is_complete(spark, tmp_path):
+    schema = "task string, serial long, num long, entity_id string, data_type string"
+    rows = [[("t1", 0, 2, "a0", "p"), ("t2", 0, 1, "b0", "p")], [("t1", 1, 2, "a1", "p"), ("t1", 0, 2, "a0", "p")]]
+    so_far, table = [], str(tmp_path / "archive")
+    save = savers.archive_saver(table, lambda: spark.createDataFrame(so_far, schema), F.lit("/v"))
+
+    def paths():
+        found = upserts.read_entities(spark, table, ["archive"]).select("entity_id", "archive.path")
+        return sorted(map(tuple, found.collect()))
+
+    for batch_id, batch in enumerate(rows):
+        so_far += batch
+        for _ in range(2):
+            save(spark.createDataFrame(batch, schema), batch_id)
+        assert paths() == [("a0", "/v/t1.har/0"), ("a1", "/v/t1.har/1")] * batch_id + [("b0", "/v/t2.har/0")]
+
+
 def test_topics_of_one_stream(spark, tmp_path):
     """One reading of a stream, typed and saved topic by topic."""
     schema = "topic string, task string, event_id long, serial long, ts timestamp, payload string"
