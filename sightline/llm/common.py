@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sightline.session import ensure_checkpoint_dir, kept
@@ -44,6 +45,46 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+# Equal rows are numbered in portions of at most this many, and a group's rows in about so many to a task.
+COPIES = 1 << 16
+PART_ROWS = 100_000
+
+
+def ranked_copies(
+    rows: DataFrame, group: str, largest: int, copies: int = COPIES, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """Distinct rows with ``_n``, how often they appear, and ``_first``, the number of the first of them in its group.
+
+    The ``_n`` rows from ``_first`` on have those numbers; numbers of a group run
+    from 0 without gaps. Rows that appear more than ``copies`` times come in
+    portions. The order is that of a hash and the column values, so it is the
+    same however the rows are partitioned. ``largest`` is the size of the largest
+    group; a group is cut by hash and its parts are numbered apart.
+    """
+    parts = max(64, math.ceil(largest / part_rows))
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    same = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_all"))
+    last = F.floor((F.col("_all") - 1) / copies)
+    same = same.select(*columns, "_all", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_portion"))
+    mark = F.xxhash64(*columns, "_portion")
+    dealt = same.select(
+        *columns,
+        "_portion",
+        F.least(F.lit(copies), F.col("_all") - F.col("_portion") * copies).cast("long").alias("_n"),
+        mark.alias("_mark"),
+        F.pmod(mark, F.lit(parts)).cast("int").alias("_part"),
+    )
+    key = F.col(f"`{group}`")
+    in_part = Window.partitionBy(key, "_part").orderBy("_mark", *columns, "_portion")
+    inside = F.coalesce(F.sum("_n").over(in_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(key.alias("_group"), F.col("_part")).agg(F.sum("_n").alias("_rows"))
+    sizes = sizes.select("_group", F.col("_part").alias("_at"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
+    inner = dealt.withColumn("_inside", inside)
+    match = key.eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_at"))
+    return inner.join(sizes, match).select(*columns, "_n", (F.col("_base") + F.col("_inside")).cast("long").alias("_first"))
+
+
 def _mark(edges: DataFrame) -> tuple:
     """What two equal sets of edges have in common."""
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

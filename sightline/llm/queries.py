@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import chat, contamination, language, licences, mixing, neardup, oracles, ring, topk, urls, warc
+from sightline.llm import (
+    alignment,
+    chat,
+    contamination,
+    language,
+    licences,
+    mixing,
+    neardup,
+    oracles,
+    packing,
+    ring,
+    topk,
+    urls,
+    warc,
+    whitening,
+)
 from sightline.llm.common import table
 
 
@@ -63,6 +78,21 @@ def op10_chat_events(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_conversations(turns.unionByName(said))
 
 
+def op11_match_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset."""
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of both tokenizers, per document."""
+    return alignment.align_documents(table(spark, folder, "documents"))
+
+
+def op13_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Four whitened components of every usable vector."""
+    return whitening.whiten_embeddings(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     registered = (
@@ -76,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_minhash_bayes,
         op9_topk_terms,
         op10_chat_events,
+        op11_match_packing,
+        op12_token_alignment,
+        op13_feast_whitening,
     )
     return {f.__name__: f for f in registered}
 

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(names)
     assert {*names, "pipeline"} <= set(entry_module.queries())
 
