@@ -16,7 +16,7 @@ from sightline.operators import aggregates as G
 from sightline.operators import entities as E
 from sightline.operators import joins as J
 from sightline.operators import ranking as W
-from sightline.operators import reports, routing, scoring, similarity, timetree
+from sightline.operators import intervals, pairs, reports, routing, scoring, similarity, timetree
 from sightline.operators import sequences as S
 from sightline.plans import commands as C
 from sightline.plans import flow
@@ -406,6 +406,28 @@ def time_bucket_join(t: Tables) -> DataFrame:
     return timetree.time_bucket_join(t.entities(), t.time_buckets(), keys=("entity_id", "data_type"))
 
 
+@query
+def span_edges(t: Tables) -> DataFrame:
+    return timetree.span_edges(t.entities(), t.spans(), keys=("entity", "data_type"))
+
+
+@query
+def video_overlaps(t: Tables) -> DataFrame:
+    """Videos of two cameras that share a moment."""
+
+    def spans(mark: str) -> DataFrame:
+        def at(part: str):
+            return F.unix_timestamp(N.video_part(F.col("video"), part), N.PACKED)
+
+        return t.videos().select(
+            F.col("video").alias(mark), at("start").alias(f"{mark}_start"), at("end").alias(f"{mark}_end")
+        )
+
+    met = intervals.interval_join(spans("a"), spans("b"), ("a_start", "a_end"), ("b_start", "b_end"))
+    shared = F.least("a_end", "b_end") - F.greatest("a_start", "b_start")
+    return met.where(F.col("a") < F.col("b")).select("a", "b", shared.alias("shared_s"))
+
+
 @query
 def bucket_counts(t: Tables) -> DataFrame:
     return timetree.bucket_counts(
@@ -619,6 +641,14 @@ def sim_by_bucket(t: Tables) -> DataFrame:
     return similarity.sim_by_bucket(pairs, times).select("src", "dst", "sim", "level")
 
 
+@query
+def pairs_in_bucket(t: Tables) -> DataFrame:
+    """The five most similar features among those of entities that start in one month."""
+    month = t.entities().select(F.col("entity").alias("id"), N.time_key(F.col("start_time"), "month").alias("bucket"))
+    found = pairs.pairs_in_bucket(t.features().join(month, "id"), k=5, hot_rows=t.hot_rows)
+    return found.withColumn("sim", F.round("sim", 6))
+
+
 @query
 def attr_distance(t: Tables) -> DataFrame:
     pairs = t.links().select("src", "dst").distinct()

@@ -390,6 +390,37 @@ _SELECT = {
         "entity bucket placed",
         "select hour_key, bucket_start, bucket_end, entity_id, data_type from placed",
     ),
+    "span_edges": (
+        "entity",
+        """select distinct strftime(s, '%Y%m%d%H%M')::bigint as bucket_start, strftime(e, '%Y%m%d%H%M')::bigint as bucket_end,
+                  entity, data_type
+           from (select day + interval 5 hour + interval 30 minute as s, day + interval 6 hour + interval 45 minute as e
+                 from (select distinct date_trunc('day', st) as day from entity)
+                 union all
+                 select day + interval 22 hour + interval 40 minute,
+                        day + to_days(cast(dayofyear(day) % 3 + 1 as integer)) + interval 1 hour + interval 15 minute
+                 from (select distinct date_trunc('day', st) as day from entity))
+           join (select *, st + to_seconds(start_frame * 2 // 25) as t from entity)
+             on t >= s and t < e + interval 1 minute""",
+    ),
+    "video_overlaps": (
+        "entity",
+        """select a.video as a, b.video as b,
+                  epoch(least(a.st, b.st) + interval 6 hour)::bigint - epoch(greatest(a.st, b.st))::bigint as shared_s
+           from (select distinct video, st from entity) a
+           join (select distinct video, st from entity) b
+             on a.video < b.video and a.st <= b.st + interval 6 hour and b.st <= a.st + interval 6 hour""",
+    ),
+    "pairs_in_bucket": (
+        "entity feature",
+        """select bucket, id, rank, other, round(sim, 6) as sim
+           from (select *, row_number() over (partition by bucket, id order by sim desc, other) as rank
+                 from (select a.bucket, a.id, b.id as other,
+                              round(list_cosine_similarity(a.vec::double[], b.vec::double[]), 9) as sim
+                       from (select id, vec, substr(start_time, 1, 6) as bucket from feature join entity on id = entity) a
+                       join (select id, vec, substr(start_time, 1, 6) as bucket from feature join entity on id = entity) b
+                         on a.bucket = b.bucket and a.id <> b.id)) where rank <= 5""",
+    ),
     "bucket_counts": (
         "entity bucket placed",
         "select bucket_start, count(*) as n_members from placed group by bucket_start",

@@ -202,6 +202,19 @@ class Tables:
             key.alias("hour_key"), (key * 100).alias("bucket_start"), (key * 100 + 29).alias("bucket_end")
         )
 
+    def spans(self) -> DataFrame:
+        """Two buckets for each video's day: one over an hour's end, one over one to three midnights."""
+        day = self.read("orders").select(F.date_trunc("week", F.col("o_orderdate")).alias("day")).distinct()
+
+        def at(days, hours: int, minutes: int):
+            moment = F.col("day") + F.make_dt_interval(days=days, hours=F.lit(hours), mins=F.lit(minutes))
+            return F.date_format(moment, "yyyyMMddHHmm").cast("bigint")
+
+        nights = F.dayofyear("day") % 3 + 1
+        short = F.struct(at(F.lit(0), 5, 30).alias("bucket_start"), at(F.lit(0), 6, 45).alias("bucket_end"))
+        long = F.struct(at(F.lit(0), 22, 40).alias("bucket_start"), at(nights, 1, 15).alias("bucket_end"))
+        return day.select(F.explode(F.array(short, long)).alias("b")).select("b.*")
+
     def run_log(self) -> DataFrame:
         hour = F.date_trunc("hour", F.col("ts"))
         end = hour + F.make_dt_interval(hours=F.lit(1), mins=F.col("k").cast("int"))
