@@ -51,7 +51,7 @@ PART_ROWS = 100_000
 
 
 def ranked_copies(
-    rows: DataFrame, group: str, largest: int, copies: int = COPIES, part_rows: int = PART_ROWS
+    rows: DataFrame, group: str, largest: int, copies: int = COPIES, part_rows: int = PART_ROWS, least_parts: int = 64
 ) -> DataFrame:
     """Distinct rows with ``_n``, how often they appear, and ``_first``, the number of the first of them in its group.
 
@@ -59,9 +59,10 @@ def ranked_copies(
     from 0 without gaps. Rows that appear more than ``copies`` times come in
     portions. The order is that of a hash and the column values, so it is the
     same however the rows are partitioned. ``largest`` is the size of the largest
-    group; a group is cut by hash and its parts are numbered apart.
+    group; a group is cut by hash, into ``least_parts`` or more, and its parts
+    are numbered apart.
     """
-    parts = max(64, math.ceil(largest / part_rows))
+    parts = max(least_parts, math.ceil(largest / part_rows))
     columns = [F.col(f"`{c}`") for c in rows.columns]
     same = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_all"))
     last = F.floor((F.col("_all") - 1) / copies)
@@ -78,6 +79,8 @@ def ranked_copies(
     in_part = Window.partitionBy(key, "_part").orderBy("_mark", *columns, "_portion")
     inside = F.coalesce(F.sum("_n").over(in_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    if parts == 1:
+        return dealt.select(*columns, "_n", inside.cast("long").alias("_first"))
     sizes = dealt.groupBy(key.alias("_group"), F.col("_part")).agg(F.sum("_n").alias("_rows"))
     sizes = sizes.select("_group", F.col("_part").alias("_at"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
     inner = dealt.withColumn("_inside", inside)

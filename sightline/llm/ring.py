@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sightline.llm.common import stored
+from sightline.llm.common import ranked_copies
 
 CELLS = 1 << 14
 VIRTUAL_NODES = 128
@@ -111,10 +111,11 @@ def assign(
 
     No shard holds more than ``load_factor`` times the mean, rounded up; with 1
     the shards' sizes differ by one at most. The order within a cell is that of
-    a hash and the column values, so reruns agree; equal rows are
-    interchangeable. A null key has a place of its own on the ring. Rows that
-    share a key, however many, are ranked by several tasks and overflow like
-    others. Columns named ``shard`` or ``slot`` are replaced.
+    a hash and the column values, so it is the same however the rows are
+    partitioned; rows equal in every column are interchangeable. A null key has
+    a place of its own on the ring. Rows that share a key, however many, are
+    ranked by several tasks and overflow like others. An empty table gives no
+    rows. Columns named ``shard`` or ``slot`` are replaced.
     """
     rows = rows.drop("shard", "slot")
     spark = rows.sparkSession
@@ -123,15 +124,10 @@ def assign(
     for cell, n in placed.groupBy("_cell").count().collect():  # at most ``cells`` rows
         counts[cell] = n
     parts = max(1, math.ceil(int(counts.max()) / cell_rows))
-    own = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
-    # The row number keeps apart equal rows of a key that fills several tasks.
-    spread = F.xxhash64(F.monotonically_increasing_id()) if parts > 1 else F.lit(0)
-    placed = placed.withColumn("_part", F.pmod(spread, F.lit(parts)).cast("int")).withColumn("_own", own)
-    if parts > 1:
-        # Row numbers may change when a lost task is run again, so the rows keep those they were dealt by.
-        placed = stored(placed, "ring")
-    by_part = Window.partitionBy("_cell", "_part").orderBy("_own", *[F.col(f"`{c}`") for c in rows.columns])
-    placed = placed.withColumn("_rank", F.row_number().over(by_part).cast("long") - 1)
+    # Equal rows are counted before they are numbered, so a key's rows spread over tasks and reruns agree.
+    ranked = ranked_copies(placed, "_cell", int(counts.max()), part_rows=cell_rows, least_parts=1)
+    last = F.col("_first") + F.col("_n") - 1
+    placed = ranked.withColumn("_rank", F.explode(F.sequence(F.col("_first"), last))).drop("_first", "_n")
 
     ranges = lay_out(counts, shards, load_factor, per_shard)
     starts = [r.first for r in ranges]
@@ -146,11 +142,6 @@ def assign(
             at += 1
     # As many rows as cells and ranges together, which the parameters bound.
     layout = spark.createDataFrame(pieces, "_cell int, _low long, _first long, _last long, shard int, _slot long")
-    if parts > 1:
-        sizes = placed.groupBy("_cell", "_part").agg(F.count(F.lit(1)).alias("_n"))
-        earlier = Window.partitionBy("_cell").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = sizes.select("_cell", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-        placed = placed.join(sizes, ["_cell", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
     place = F.col("_low") + F.col("_rank")
     found = placed.join(F.broadcast(layout), "_cell").where((place >= F.col("_first")) & (place <= F.col("_last")))
     return found.withColumn("slot", F.col("_slot") + place - F.col("_first")).select(
