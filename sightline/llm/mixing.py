@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.llm.common import WORD, stored
+from sightline.llm.common import WORD, ranked_copies, stored
 
 MAX_REPEATS = 3
 WEIGHTS = (5, 2, 1)
@@ -106,18 +106,27 @@ def route(pattern_words: dict[tuple, int], goal: dict, repeats: int = MAX_REPEAT
     return {p: sum(net.room[e ^ 1] for e in taken[p]) for p in patterns}
 
 
-def _fill(short: int, offered: Sequence) -> list[int]:
-    """Offered documents, largest first, as long as they fit; then the smallest if that comes nearer."""
+def _fill(short: int, offered: Sequence) -> tuple[list[int], int | None, int]:
+    """Offered documents, largest first, as long as they fit; then one more if that comes nearer.
+
+    Repeated rows are offered together. Once no offer fits as a whole, some rows
+    of one are taken: its order and their number come beside the orders that are
+    taken whole.
+    """
     chosen = []
-    for row in sorted(offered, key=lambda r: (-r["size"], r["order"])):
-        if row["size"] <= short:
+    for row in sorted(offered, key=lambda r: (-r["total"], r["order"])):
+        if row["total"] <= short:
             chosen.append(row["order"])
-            short -= row["size"]
-    rest = [r for r in offered if r["order"] not in chosen]
-    last = min(rest, key=lambda r: (r["size"], r["order"]), default=None)
-    if last is not None and last["size"] < 2 * short:
-        chosen.append(last["order"])
-    return chosen
+            short -= row["total"]
+    rest = sorted((r for r in offered if r["order"] not in chosen), key=lambda r: (r["size"], r["order"]))
+    # What is left over or exceeded when this many rows of the offer are taken.
+    tries = [(abs(short - n * r["size"]), n, r) for r in rest for n in {short // r["size"], short // r["size"] + 1}]
+    _, n, row = min(tries, key=lambda t: (t[0], t[1], t[2]["order"]), default=(0, 0, None))
+    if not n:
+        return chosen, None, 0
+    if n == row["n"]:
+        return [*chosen, row["order"]], None, 0
+    return chosen, row["order"], n
 
 
 def _order(seed: int) -> Column:
@@ -150,16 +159,18 @@ def plan_mix(
     Sources in order of their code points, null last, weigh ``weights`` in
     turn. A document without sources, or of size 0 or null, is not taken; a
     source named twice counts once. Documents are taken whole; a few of each
-    size fill what is left of a quota, which so ends within one document. Rows with equal id and size are taken
-    together. More than ``max_patterns`` patterns are refused, as their graph
+    size class fill what is left of a quota, which so ends within one document.
+    Rows with equal id and size are planned together, and where a quota ends
+    among them, only some are taken. More than ``max_patterns`` patterns are refused, as their graph
     would outgrow the driver.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("size", F.lit(0)).cast("long").alias("size"), _pattern().alias("pattern"))
-    # Written once, without texts; every pass below is a reduction.
+    # Written once, without texts, repeated rows as one; every pass below is a reduction.
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.col("size") * F.col("n"))
     rows = stored(rows.withColumn("order", _order(seed)), "mix").withColumn("cell", _cell())
 
-    sums = rows.groupBy("pattern").agg(F.sum("size").alias("n")).limit(max_patterns + 1).collect()
+    sums = rows.groupBy("pattern").agg(F.sum("total").alias("n")).limit(max_patterns + 1).collect()
     if len(sums) > max_patterns:
         raise ValueError(f"more than {max_patterns} patterns of sources")
     words = {tuple(r["pattern"]): r["n"] for r in sums}
@@ -188,9 +199,10 @@ def plan_mix(
     extra = {p: _fill(short[p], list(o.values())) for p, o in extra.items()}
 
     last = {tuple(p): (c, at) for p, c, at, _ in full}
+    none = ([], None, 0)
     plan = spark.createDataFrame(
-        [(list(p), int(whole[p]), *last.get(p, (-1, None)), extra.get(p, [])) for p in words],
-        "pattern array<string>, whole int, cut int, last long, extra array<long>",
+        [(list(p), int(whole[p]), *last.get(p, (-1, None)), *extra.get(p, none)) for p in words],
+        "pattern array<string>, whole int, cut int, last long, extra array<long>, part long, part_rows long",
     )
     sources = spark.createDataFrame([(s, own[s], goal[s]) for s in names], "source string, source_size long, target double")
     return plan, sources
@@ -198,7 +210,7 @@ def plan_mix(
 
 def _cut_cells(rows: DataFrame, quota: DataFrame) -> DataFrame:
     """The cell of the seeded order in which each pattern's quota ends, and the room left before it."""
-    sums = _with_plan(rows, quota).groupBy("pattern", "rest", "cell").agg(F.sum("size").alias("n"))
+    sums = _with_plan(rows, quota).groupBy("pattern", "rest", "cell").agg(F.sum("total").alias("n"))
     upto = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("pattern").orderBy("cell")))
     end = F.min(F.struct("cell", (F.col("rest") - F.col("upto") + F.col("n")).alias("room"))).alias("end")
     return upto.where("upto > rest").groupBy("pattern").agg(end).select("pattern", "end.cell", "end.room")
@@ -206,9 +218,9 @@ def _cut_cells(rows: DataFrame, quota: DataFrame) -> DataFrame:
 
 def _cut_orders(rows: DataFrame) -> DataFrame:
     """How far each quota reaches within its cell; ranks about one row in CELLS."""
-    upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("order"))
+    upto = F.sum("total").over(Window.partitionBy("pattern").orderBy("order"))
     edge = rows.where(F.col("cell") == F.col("cut")).withColumn("upto", upto).where("upto <= room")
-    return edge.groupBy("pattern").agg(F.max("order").alias("last"), F.sum("size").alias("n"))
+    return edge.groupBy("pattern").agg(F.max("order").alias("last"), F.sum("total").alias("n"))
 
 
 def _chosen() -> Column:
@@ -219,18 +231,35 @@ def _chosen() -> Column:
 def _offers(rows: DataFrame) -> DataFrame:
     """Four documents of each size class that the quota has not reached, to fill what is left of it."""
     behind = rows.where(~_chosen() & (F.col("size") > 0))
-    by_order, by_size = F.struct("order", "size"), F.struct("size", "order")
-    four = [F.min(by_order), F.max(by_order), F.min_by(by_order, by_size), F.max_by(by_order, by_size)]
+    row, by_size = F.struct("order", "size", "n", "total"), F.struct("size", "order")
+    four = [F.min(row), F.max(row), F.min_by(row, by_size), F.max_by(row, by_size)]
     return behind.groupBy("pattern", F.floor(F.log2("size")).alias("class")).agg(F.array(*four).alias("offers"))
 
 
 def apply_mix(docs: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
-    """``docs`` (doc_id, size, sources and any others) with ``copies``, decided row by row from the plan."""
+    """``docs`` (doc_id, size, sources and any others) with ``copies``, decided row by row from the plan.
+
+    Only where a quota ends among repeated rows are these numbered, in portions;
+    the first by a hash of their columns are taken.
+    """
+    names = docs.columns
     rows = docs.withColumn("size", F.coalesce("size", F.lit(0)).cast("long")).withColumn("pattern", _pattern())
     rows = _with_plan(rows.withColumn("order", _order(seed)).withColumn("cell", _cell()), plan)
     more = (_chosen() | F.array_contains("extra", F.col("order"))).cast("int")
     copies = F.when(F.col("size") > 0, F.col("whole") + more).otherwise(0).cast("int")
-    return rows.withColumn("copies", copies).drop("pattern", "order", "cell", "whole", "cut", "last", "extra")
+    names = [F.col(f"`{c}`") for c in names]
+    # One row per pattern.
+    largest = plan.agg(F.max("part_rows")).first()[0]
+    if not largest:
+        return rows.select(*names, copies.alias("copies"))
+    within = F.coalesce(F.col("order") == F.col("part"), F.lit(False))
+    mark = F.xxhash64("pattern", "order").alias("_quota")
+    some = rows.where(within).select(*names, "whole", "part_rows", mark)
+    ranked = ranked_copies(some, "_quota", largest)
+    rank = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1))
+    ranked = ranked.withColumn("_rank", rank)
+    taken = (F.col("whole") + (F.col("_rank") < F.col("part_rows")).cast("int")).cast("int")
+    return rows.where(~within).select(*names, copies.alias("copies")).unionByName(ranked.select(*names, taken.alias("copies")))
 
 
 def sized(docs: DataFrame) -> DataFrame:
