@@ -37,8 +37,8 @@ PIECE = 1 << 20
 
 UNDECIDED = "und"
 
-# Kinds of characters by code point; the planes behind these hold ideographs and rare scripts.
-_PLANES = 0x30000
+# Kinds of characters by code point; the planes behind these hold no letters or digits.
+_PLANES = 0x40000
 OTHER, LETTER, DIGIT = 0, 1, 2
 
 
@@ -158,8 +158,9 @@ def penalty(n_words: int) -> float:
 def mixture(words: np.ndarray) -> np.ndarray:
     """Shares of the languages; 0 for those outside the set of the best penalised likelihood.
 
-    The set grows from the best single language by the one with the largest
-    share among the rest, as long as the penalised likelihood rises.
+    The set grows from the best single language by every other one, those with
+    larger shares first, that raises the penalised likelihood, and gives up any
+    whose loss raises it, until neither does.
     """
     n, width = words.shape
     alone = words.sum(axis=0, dtype="float64")
@@ -168,15 +169,21 @@ def mixture(words: np.ndarray) -> np.ndarray:
     cost = penalty(n)
     # No mixture beats the best language of every word.
     if width > 1 and float(words.max(axis=1).sum(dtype="float64")) - best > cost:
-        ranked = np.argsort(-proportions(words)[0], kind="stable")
-        for other in ranked:
-            if int(other) in chosen:
-                continue
-            tried, value = proportions(words[:, [*chosen, int(other)]])
-            if value - best <= cost:
-                break
-            chosen.append(int(other))
-            shares, best = tried, value
+        ranked = [int(i) for i in np.argsort(-proportions(words)[0], kind="stable")]
+        changed = True
+        while changed:
+            changed = False
+            for other in ranked:
+                if other not in chosen:
+                    tried, value = proportions(words[:, [*chosen, other]])
+                    if value - best > cost:
+                        chosen, shares, best, changed = [*chosen, other], tried, value, True
+            for other in list(chosen) if len(chosen) > 1 else []:
+                rest = [i for i in chosen if i != other]
+                if rest:
+                    tried, value = proportions(words[:, rest])
+                    if best - value < cost:
+                        chosen, shares, best, changed = rest, tried, value, True
     out = np.zeros(width)
     out[chosen] = shares
     return out
