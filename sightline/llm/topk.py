@@ -81,11 +81,12 @@ def accumulate(queries: np.ndarray, lists: list, n_rows: int, kind: str) -> np.n
 
 
 def _kind(queries: np.ndarray, block: np.ndarray) -> str:
-    """The narrowest type that holds every score."""
+    """The narrowest type that holds every score; whole numbers of any size where 64 bits may not."""
     if not queries.size or not block.size:
         return "int32"
-    most = float(np.abs(queries).max()) * float(np.abs(block).max()) * min(queries.shape[1], block.shape[1])
-    return "int32" if most < 2**31 else "int64"
+    largest = [max(abs(int(m.min())), abs(int(m.max()))) for m in (queries, block)]
+    most = largest[0] * largest[1] * min(queries.shape[1], block.shape[1])
+    return "int32" if most < 2**31 else "int64" if most < 2**63 else "object"
 
 
 def _select(scores: np.ndarray, query_ids, ids, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,6 +124,8 @@ def _search(rows: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int)
                 for at in range(0, len(names), QUERY_ROWS):
                     own = names[at : at + QUERY_ROWS]
                     scores = accumulate(weights[at : at + QUERY_ROWS], lists, len(ids), kind)
+                    if kind == "object":
+                        scores = np.clip(scores, -(2**63), 2**63 - 1).astype("int64")
                     row, col, value = _select(scores, own, ids, k)
                     found.append(pd.DataFrame({"query_id": own[row], "vec_id": ids[col], "score": value}))
                 best = _merge(best, found, k)
@@ -137,8 +140,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_bytes: int = Q
 
     ``vectors`` is (vec_id, terms), whole numbers; a query is no candidate of
     its own, nor are rows that share its id. Ties go to the smaller id;
-    repeated rows count as often as they appear. Products must stay within 63
-    bits. Queries are gathered in blocks of a fixed size, each sent to all
+    repeated rows count as often as they appear. A score beyond a long is
+    the nearest long. Queries are gathered in blocks of a fixed size, each sent to all
     rows, and a task passes on ``k`` rows per query; every block is a pass over
     the rows and nothing but those bests is shuffled.
     """
