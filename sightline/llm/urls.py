@@ -90,8 +90,12 @@ def without_fragment(url: Column) -> Column:
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): a page's URL and the target of its canonical link or refresh; only pages with such tags give rows."""
-    html = F.col("html")
+    """(a, b): a page's URL and the target of its canonical link or refresh; only pages with such tags give rows.
+
+    Links are read against the page's own URL; a ``base`` tag is not followed.
+    """
+    # What a comment holds is no tag.
+    html = F.regexp_replace("html", r"(?s)<!--.*?(-->|\z)", "")
     links = F.filter(
         F.regexp_extract_all(html, F.lit(_TAG.format(name="link")), F.lit(0)),
         lambda t: F.concat(F.lit(" "), lower_ascii(_attribute(t, "rel")), F.lit(" ")).rlike(r"\scanonical\s"),
@@ -110,7 +114,7 @@ def link_edges(pages: DataFrame) -> DataFrame:
         ),
     )
     # Most pages have neither tag, and the cheap test spares them the rest.
-    tagged = pages.where(F.col("url").isNotNull() & html.rlike(r"(?i)canonical|http-equiv"))
+    tagged = pages.where((F.instr("url", "://") > 0) & F.col("html").rlike(r"(?i)canonical|http-equiv"))
     edges = tagged.select(F.col("url"), F.explode(targets).alias("link"))
     return edges.select(without_fragment("url").alias("a"), without_fragment(_absolute(F.col("link"), F.col("url"))).alias("b"))
 
@@ -129,14 +133,18 @@ def judge(
     """
     edges = link_edges(pages)
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(without_fragment("a").alias("a"), without_fragment("b").alias("b")))
+        known = redirects.where((F.instr("a", "://") > 0) & (F.instr("b", "://") > 0))
+        edges = edges.unionByName(known.select(without_fragment("a").alias("a"), without_fragment("b").alias("b")))
     groups = components(edges)
     judged = groups.withColumn("hit", matching_rule(host_of(F.col("node")), path_of(F.col("node")), rules))
     blocked = judged.where(F.col("hit.verdict") == "block").select("root").distinct().withColumn("blocked", F.lit(True))
     groups = groups.join(blocked, "root", "left")
     hit = matching_rule(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rows = rows.withColumn("hit", hit).withColumn("node", without_fragment("url")).join(groups, "node", "left")
+    # A page that has no alias gets a key of its own, so that such pages don't meet in one task.
+    alone = F.concat(F.lit(" "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("host"))
+    node = F.when(F.instr("url", "://") > 0, without_fragment("url")).otherwise(alone)
+    rows = rows.withColumn("hit", hit).withColumn("node", F.coalesce(node, alone)).join(groups, "node", "left")
     by_alias = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(
         "page_id",
