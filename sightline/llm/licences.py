@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +27,12 @@ SPELLINGS = (
     ("licenced", "licensed"), ("merchantibility", "merchantability"), ("non commercial", "noncommercial"),
     ("noninfringment", "noninfringement"), ("organisation", "organization"), ("owner", "holder"),
     ("per cent", "percent"), ("programme", "program"), ("sublicence", "sublicense"), ("utilisation", "utilization"),
-    ("whilst", "while"), ("wilful", "willful"),
+    ("owners", "holders"), ("whilst", "while"), ("wilful", "willful"),
 )
 # fmt: on
 
-# A line of a copyright statement: nothing before the mark but comment signs.
-_COPYRIGHT = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)(?:[ \t:,]*(?:\(c\)|©|copyright|[0-9]|by\b)[^\n]*|[^a-z0-9\n]*)$"
+# A line of a copyright statement: nothing before the mark but comment signs, and a year or a short name behind it.
+_COPYRIGHT = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)(?:[ \t:,]*(?:\(c\)|©|copyright|[0-9]|by\b)[^\n]*|(?:[^a-z0-9\n]+[a-z0-9]+){0,4}[^a-z0-9\n]*)$"
 _NOT_WORD = r"[^a-z0-9\n]+"
 _EDGES = r"(?m)^ | $"
 
@@ -118,6 +118,13 @@ You should have received a copy of the GNU General Public License along with thi
 <https://www.gnu.org/licenses/>.
 """,
 }
+# The title lines that files of a licence begin with.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"),
+    "Zlib": ("zlib License", "The zlib/libpng License", "zlib/libpng License"),
+}
 NOTICES = {
     "Released under the MIT License": "MIT",
     "Licensed under the MIT License": "MIT",
@@ -162,16 +169,26 @@ def canonical_text(text: str) -> str:
     return re.sub(r"[ \n]+", " ", re.sub(_EDGES, "", lines)).strip(" ")
 
 
+def shipped(licences: Mapping[str, str] = LICENCES, titles: Mapping[str, Sequence[str]] = TITLES) -> list[tuple[str, str]]:
+    """(name, text) of every licence, alone and below each of its titles."""
+    return [(n, "\n\n".join([*title, t])) for n, t in licences.items() for title in [[], *[[x] for x in titles.get(n, ())]]]
+
+
 def known_digests(texts: Mapping[str, str]) -> dict[str, str]:
     """Digest -> name for texts given as name -> text."""
     return {hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in texts.items()}
 
 
-def scan(docs: DataFrame, licences: Mapping[str, str] = LICENCES, notices: Mapping[str, str] = NOTICES) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    licences: Mapping[str, str] = LICENCES,
+    notices: Mapping[str, str] = NOTICES,
+    titles: Mapping[str, Sequence[str]] = TITLES,
+) -> DataFrame:
     """(doc_id, digest, license, notices) of every document.
 
     ``digest`` is the SHA-256 of the whole canonical text, ``license`` the
-    known licence with that digest, or null, and ``notices`` the sorted names
+    known licence with that digest, alone or below one of its titles, or null, and ``notices`` the sorted names
     of known notices that stand on a line of their own. A null text has a null
     digest and no notices; an empty text, or one of copyright lines only, has
     the digest of nothing and no licence. Repeated rows repeat their result.
@@ -179,7 +196,8 @@ def scan(docs: DataFrame, licences: Mapping[str, str] = LICENCES, notices: Mappi
     """
     spark = docs.sparkSession
     by_line = {canonical_text(line): name for line, name in notices.items()}
-    whole = known_digests(dict(licences) | {f"{n}\n{i}": t for i, (t, n) in enumerate(notices.items())})
+    texts = [*shipped(licences, titles), *((n, t) for t, n in notices.items())]
+    whole = known_digests({f"{n}\n{i}": t for i, (n, t) in enumerate(texts)})
     known = spark.createDataFrame(
         [(d, n.partition("\n")[0]) for d, n in whole.items()], "digest string, license string"
     )

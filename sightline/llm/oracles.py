@@ -104,7 +104,7 @@ def _licences() -> str:
             inner = f"regexp_replace({inner}, {quoted(pattern)}, {'chr(10)' if to == r'\n' else quoted(to)}, 'g')"
         return inner
 
-    whole = ", ".join(f"({quoted(t)}, {quoted(n)})" for n, t in licences.LICENCES.items())
+    whole = ", ".join(f"({quoted(t)}, {quoted(n)})" for n, t in licences.shipped())
     lines = ", ".join(f"({quoted(t)}, {quoted(n)})" for t, n in licences.NOTICES.items())
     flat = "trim(regexp_replace({}, '[ \\n]+', ' ', 'g'), ' ')"
     return f"""
