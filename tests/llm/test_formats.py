@@ -180,10 +180,24 @@ def test_variants_of_a_licence_are_found(spark):
     variant = "Copyright (c) 2020 Some Body\r\n\r\n" + mit.upper().replace(",", " ,").replace("HOLDERS", "OWNERS")
     same = "/* (C) 1999-2003 by me */\n" + mit.lower().replace("merchantability", "merchantibility").replace("\n", "  \n * ")
     got = _scan(spark, [mit, same, variant, mit + " more", None, "", "Copyright 2020 x"])
-    assert [r.license for r in got] == ["MIT", "MIT", None, None, None, None, None]
+    assert [r.license for r in got] == ["MIT", "MIT", "MIT", None, None, None, None]
     assert got[4].digest is None and got[5].digest == got[6].digest == hashlib.sha256(b"").hexdigest()
 
 
+def test_a_licence_as_it_is_shipped(spark):
+    mit = licences.LICENCES["MIT"]
+    texts = [
+        "MIT License\n\nCopyright (c) 2020 Some Body\n" + mit,
+        "The MIT License (MIT)\r\n\r\nCopyright Jane Doe\r\n" + mit.replace("\n", "\r\n"),
+        "# ISC License\n#\n# (c) Jane Doe\n" + licences.LICENCES["ISC"].replace("\n", "\n# "),
+        "ISC License\n" + mit,
+        (mit + "\n") * 2000,
+    ]
+    assert [r.license for r in _scan(spark, texts)] == ["MIT", "MIT", "ISC", None, None]
+    again = licences.scan(spark.createDataFrame([(1, texts[0], "x", "y")] * 3, DOCS)).collect()
+    assert [r.license for r in again] == ["MIT"] * 3
+
+
 def test_notices_stand_on_their_own_line(spark):
     texts = [
         "words\nReleased under the MIT Licence.\nwords\n* licensed under CC BY-NC 4.0 *",

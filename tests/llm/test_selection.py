@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sightline.llm import mixing, ring, topk, urls
 from sightline.llm.common import components
@@ -298,3 +299,65 @@ def test_topk_of_few_rows(spark):
     big = spark.createDataFrame([(0, [4e6, 1.0]), (1, [4e6, -1.0]), (2, [-4e6, 0.0])], "vec_id long, embedding array<float>")
     found = topk.nearest_vectors(big).collect()
     assert [(r.vec_id, r.score) for r in found] == [(1, 1024000000**2 - 256 * 256), (2, -(1024000000**2))]
+
+
+# Repeated rows, wide numbers and pages without a web address.
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_quota_ends_among_repeated_rows(spark, seed):
+    """One id that holds most of a source's rows is taken in part, and reruns agree."""
+    rows = [(1, "w " * 20, "b")] * 300 + [(100 + i, "w " * (20 + seed), "a") for i in range(400)]
+    docs = _docs(spark, rows)
+    got = mixing.mix_documents(docs.repartition(3)).collect()
+    assert len(got) == len(rows)
+    for source_size in {r.source_size for r in got}:
+        own = [r for r in got if r.source_size == source_size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 20 + seed
+        assert all(0 <= r.taken <= 3 * r.size for r in own)
+    again = mixing.mix_documents(docs.repartition(7)).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    whole = mixing.mixed_documents(docs)
+    assert whole.columns == docs.columns
+    assert Counter(r.doc_id for r in whole.collect()) == Counter(
+        {i: sum(r.taken // r.size for r in got if r.doc_id == i) for i in {r.doc_id for r in got}}
+    )
+
+
+def test_a_split_cell_is_the_same_however_rows_are_dealt(spark):
+    rows = [(7, str(i % 40)) for i in range(400)] + [(i, "x") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, v string")
+    results = [
+        Counter(map(tuple, ring.assign(df.repartition(n), "doc_id", shards=4, load_factor=1.0, cell_rows=50).collect()))
+        for n in (1, 5)
+    ]
+    assert results[0] == results[1] and sum(results[0].values()) == len(rows)
+
+
+def test_scores_beyond_a_long(spark):
+    far = [(50, [1e30, 0.5]), (1, [1e30, 0.0]), (2, [-1e30, 0.0]), (3, [0.0, 1.0]), (4, [1e15, 0.0])]
+    got = topk.nearest_vectors(spark.createDataFrame(far, "vec_id long, embedding array<float>")).collect()
+    most = 2**63 - 1
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [
+        (1, most), (4, most), (3, 128 * 256), (2, -most - 1)
+    ]
+
+
+def test_pages_without_an_address_and_comments(spark):
+    link = '<link rel="canonical" href="https://example.org/es/x">'
+    pages = [
+        (1, "foo", link),
+        (2, "", link),
+        (3, "", "plain"),
+        (4, "https://a.net/1", f"<!-- {link} -->"),
+        (5, "https://a.net/2", link),
+        (6, None, link),
+        (7, "https://a.net/3", f"<!-- open {link}"),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    redirects = spark.createDataFrame([("foo", "https://example.org/es/x"), (None, "b")], "a string, b string")
+    got = {r.page_id: r.verdict for r in urls.judge(df, redirects=redirects).collect()}
+    assert got == {1: "allow", 2: "allow", 3: "allow", 4: "allow", 5: "block", 6: "allow", 7: "allow"}
+    assert urls.judge(df.limit(0)).count() == 0
+    clash = redirects.withColumn("page_id", F.lit(1)).withColumn("node", F.lit("x")).withColumn("root", F.lit("y"))
+    assert urls.judge(df, redirects=clash).count() == len(pages)

@@ -279,3 +279,26 @@ def test_pipeline(spark, tmp_path):
     sizes = [sum(r.shard == s for r in got) for s in range(16)]
     assert max(sizes) - min(sizes) <= 1
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "mix", "shards"]
+
+
+def test_letters_of_all_planes_and_the_best_set(spark):
+    kinds = language.character_kinds()
+    names, model = ["a"], np.zeros((language.BUCKETS, 1), "float32")
+    assert language.judged("\U00030000\U00030001", names, model, kinds)[0] == "a"
+    assert language.judged("\U000e0041 \U0010fffd", names, model, kinds)[0] == "und"
+    assert not any(chr(c).isalnum() for c in range(language._PLANES, 0x110000))
+    from itertools import combinations
+
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        n = int(rng.integers(20, 200))
+        own = rng.choice(4, size=n, p=rng.dirichlet([0.5] * 4))
+        words = (rng.standard_normal((n, 4)) - 8 * (own[:, None] != np.arange(4))).astype("float32")
+        cost = language.penalty(n)
+        tried = {
+            some: language.proportions(words[:, list(some)])[1] - cost * (len(some) - 1)
+            for size in range(1, 5)
+            for some in combinations(range(4), size)
+        }
+        got = tuple(np.flatnonzero(language.mixture(words)).tolist())
+        assert tried[got] >= max(tried.values()) - 0.5
