@@ -16,7 +16,7 @@ from sightline.operators import aggregates as G
 from sightline.operators import entities as E
 from sightline.operators import joins as J
 from sightline.operators import ranking as W
-from sightline.operators import intervals, pairs, reports, routing, scoring, similarity, timetree
+from sightline.operators import intervals, pairs, pivots, reports, routing, scoring, similarity, timetree
 from sightline.operators import sequences as S
 from sightline.plans import commands as C
 from sightline.plans import flow
@@ -533,6 +533,15 @@ def topk_similar(t: Tables) -> DataFrame:
     return top.select("probe", "rank", "id", F.round("sim", 6).alias("sim"))
 
 
+@query
+def topk_pruned(t: Tables) -> DataFrame:
+    """The nearest features by a gallery that keeps its angles to a few pivots."""
+    chosen = pivots.choose_pivots(t.features())
+    indexed = pivots.clustered(pivots.with_pivots(t.features(), chosen))
+    top = pivots.topk_pruned(t.features(), indexed, chosen, k=10)
+    return top.select("probe", "rank", "id", F.round("sim", 6).alias("sim"))
+
+
 @query
 def id_ranks(t: Tables) -> DataFrame:
     lists = similarity.rank_lists(similarity.topk_similar(t.features(), t.features(), k=10))
@@ -611,6 +620,22 @@ def lookup_entity(t: Tables) -> DataFrame:
     )
 
 
+@query
+def lookup_feature(t: Tables) -> DataFrame:
+    """Stored features of the probed entities, decoded."""
+    stored = t.features().select(
+        F.col("id").cast("string").alias("entity_id"),
+        F.concat(F.lit("plan-"), F.col("id") % 3).alias("data_type"),
+        V.encode_feature(F.col("vec")).alias("reid_feature"),
+    )
+    probes = t.events().select(
+        F.col("user_id").cast("string").alias("entity_id"), F.concat(F.lit("plan-"), F.col("k") % 3).alias("data_type")
+    )
+    found = E.lookup_feature(stored, probes)
+    first, last = (F.element_at("vec", i).cast("double") for i in (1, -1))
+    return found.select(*E.KEYS, F.size("vec").cast("bigint").alias("n_floats"), first.alias("first"), last.alias("last"))
+
+
 @query
 def pair_value(t: Tables) -> DataFrame:
     last = J.valid_edges(t.links(), t.features(), ["at", "o1", "o2", "o3"])

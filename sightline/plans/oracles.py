@@ -493,6 +493,14 @@ _SELECT = {
                               round(list_cosine_similarity(p.vec::double[], g.vec::double[]), 9) as sim
                        from feature p join feature g on p.id <> g.id)) where rank <= 10""",
     ),
+    "topk_pruned": (
+        "feature",
+        """select probe, rank, id, round(sim, 6) as sim
+           from (select *, row_number() over (partition by probe order by sim desc, id) as rank
+                 from (select p.id as probe, g.id as id,
+                              round(list_cosine_similarity(p.vec::double[], g.vec::double[]), 9) as sim
+                       from feature p join feature g on p.id <> g.id)) where rank <= 10""",
+    ),
     "id_ranks": (
         "feature",
         """select probe, string_agg(cast(id as varchar), ',' order by rank) as ids
@@ -516,6 +524,12 @@ _SELECT = {
         """select entity_id, data_type, path, s1, s2, s3 from entity_row
            where (entity_id, data_type) in (select (cast(user_id as varchar), 'plan-' || (k % 3)) from event_k)""",
     ),
+    "lookup_feature": (
+        "event_k feature",
+        """select cast(id as varchar) as entity_id, 'plan-' || (id % 3) as data_type, cast(len(vec) as bigint) as n_floats,
+                  cast(vec[1] as double) as first, cast(vec[-1] as double) as last
+           from feature where (id, id % 3) in (select (user_id, k % 3) from event_k)""",
+    ),
     "pair_value": (
         "feature last_link valid",
         """select src, dst, sim from valid
