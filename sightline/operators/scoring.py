@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -41,6 +42,76 @@ def score_batches(
     return df.mapInPandas(run, schema)
 
 
+def _sums(scores: pd.DataFrame, names: Sequence[str], keys: Sequence[str]) -> pd.DataFrame:
+    values = scores[list(names)].to_numpy("float64")
+    group = scores.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
+    order = np.argsort(group, kind="stable")
+    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+    known = ~np.isnan(values[order])
+    out = scores[list(keys)].iloc[order[starts]].reset_index(drop=True)
+    out["n"] = np.diff(starts, append=len(order))
+    out["sums"] = list(np.add.reduceat(np.where(known, values[order], 0.0), starts))
+    out["counts"] = list(np.add.reduceat(known.astype("int64"), starts))
+    return out
+
+
+def mean_vectors(
+    boxes: DataFrame, factory: Callable, names: Sequence[str], keys: Sequence[str], name: str
+) -> DataFrame:
+    """(keys, n_samples, scores): the mean of every score over the boxes of a key, as one array.
+
+    ``factory`` is a recognizer's. A batch is summed before it leaves its task,
+    so one short row per key and batch is shuffled, and no plan holds an
+    aggregate for every score. Missing scores don't count; a score that is
+    missing in all boxes is null.
+    """
+    names, keys = list(names), list(keys)
+
+    def build():
+        model = factory()
+
+        def sums(batch: pd.DataFrame) -> pd.DataFrame:
+            scores = model(batch)
+            if scores.empty:
+                return pd.DataFrame(columns=[*keys, "n", "sums", "counts"])
+            return _sums(scores, names, keys)
+
+        return sums
+
+    schema = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in keys)
+    parts = score_batches(boxes, build, f"{schema}, n long, sums array<double>, counts array<long>", name)
+    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
+    none = F.struct(
+        F.array_repeat(F.lit(0.0), len(names)).alias("sums"), F.array_repeat(F.lit(0).cast("long"), len(names)).alias("counts")
+    )
+    total = F.aggregate(
+        "parts", none, lambda t, p: F.struct(add(t.sums, p.sums).alias("sums"), add(t.counts, p.counts).alias("counts"))
+    )
+    return (
+        parts.groupBy(*keys)
+        .agg(F.sum("n").alias("n_samples"), F.collect_list(F.struct("sums", "counts")).alias("parts"))
+        .select(*keys, "n_samples", total.alias("t"))
+        .select(*keys, "n_samples", F.zip_with("t.sums", "t.counts", lambda s, c: F.when(c > 0, s / c)).alias("scores"))
+    )
+
+
+def from_vectors(factory: Callable, names: Sequence[str], column: str = "scores") -> Callable:
+    """A model that reads named scores, fed from one array column."""
+    names = list(names)
+
+    def build():
+        model = factory()
+
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            values = np.stack(rows[column].to_list()) if len(rows) else np.empty((0, len(names)))
+            scores = pd.DataFrame(values.astype("float64"), columns=names)
+            return model(pd.concat([rows.drop(columns=column).reset_index(drop=True), scores], axis=1))
+
+        return run
+
+    return build
+
+
 def _with_keys(boxes: pd.DataFrame, keys: Sequence[str], scores: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([boxes[list(keys)].reset_index(drop=True), scores], axis=1)
 

@@ -688,10 +688,9 @@ def attr_distance(t: Tables) -> DataFrame:
 def scores_hook(t: Tables) -> DataFrame:
     """Attributes of every entity from a stand-in model over its sampled boxes."""
     names = list(ATTRS)
-    schema = "entity long, idx long, " + ", ".join(f"{n} double" for n in names)
     boxes = _kept(t).select("entity", "idx", "x", "y", "w", "h")
-    scored = scoring.score_batches(boxes, scoring.stand_in_recognizer(names), schema, "stand-in-125")
-    return G.mean_scores(scored, names)
+    means = scoring.mean_vectors(boxes, scoring.stand_in_recognizer(names), names, ["entity"], "stand-in-125")
+    return means.select("entity", "n_samples", *[F.get("scores", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 @query

@@ -74,6 +74,9 @@ COMMANDS = {
     "imgclassification": ("video", ["hdfs-video-url-for-pedestrian-classifier"], ""),
 }
 
+# The node that stores the output of another.
+SAVERS = {"track": "save_track", "attr": "save_attr", "feature": "save_feature", "reid": "save_rank"}
+
 # Known commands without an implementation.
 NOT_IMPLEMENTED = ["rttrack", "rt-track-attrrecog-reid"]
 
@@ -131,6 +134,19 @@ def node_table(spark: SparkSession) -> DataFrame:
     return _constant(spark, "command, node, output_type", rows)
 
 
+def need_table(spark: SparkSession) -> DataFrame:
+    """What every command's plan stores, and whether attributes feed its re-identification."""
+    rows = []
+    for command, (_, ports, edges) in COMMANDS.items():
+        known = set(edges.split())
+        runs = {_START_NODE[p] for p in ports} | {e.split(">")[1] for e in known}
+        saves = [n in runs and f"{n}>{saver}" in known for n, saver in SAVERS.items()]
+        rows.append((command, *(str(s).lower() for s in (*saves, "attr>reid" in known))))
+    names = [f"save_{n}" for n in SAVERS] + ["fed"]
+    table = _constant(spark, ", ".join(["command", *names]), rows)
+    return table.select("command", *[F.col(n).cast("boolean").alias(n) for n in names])
+
+
 def check_commands(commands: DataFrame) -> DataFrame:
     """Add ``status`` (handled, not implemented, unsupported) and the ``input`` of handled commands."""
     known = command_table(commands.sparkSession)

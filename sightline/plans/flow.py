@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from sightline.functions.names import entity_id, start_time, store_path, video_part
 from sightline.functions.vectors import encode_feature
-from sightline.operators.aggregates import mean_scores
 from sightline.operators.entities import FEATURE, as_group, feature_update
-from sightline.operators.scoring import score_batches
-from sightline.operators.sequences import clear_unsampled, kept_samples
-from sightline.plans.commands import edge_table, entry_table, fan_out
+from sightline.operators.scoring import from_vectors, mean_vectors, score_batches
+from sightline.operators.sequences import keeps, kept_samples
+from sightline.plans.commands import fan_out, need_table
 from sightline.session import kept
 from sightline.sources.upserts import write_updates
 
@@ -51,47 +50,34 @@ class Models:
     samples: int = 5
 
 
-def with_edge(tasks: DataFrame, src: str, dst: str) -> DataFrame:
-    """Rows of the commands whose plan leads from one node to another."""
-    edges = edge_table(tasks.sparkSession).where((F.col("src") == src) & (F.col("dst") == dst))
-    return tasks.join(F.broadcast(edges.select("command")), "command", "left_semi")
-
-
-def _saved(tasks: DataFrame, node: str) -> DataFrame:
-    """Rows of the commands that run a node, fed by an edge or entered at it, and store its output."""
-    spark = tasks.sparkSession
-    fed = edge_table(spark).where(F.col("dst") == node).select("command")
-    entered = entry_table(spark).where(F.col("node") == node).select("command")
-    runs = fed.unionByName(entered).distinct()
-    saver = {"attr": "save_attr", "feature": "save_feature", "reid": "save_rank"}[node]
-    return with_edge(tasks, node, saver).join(F.broadcast(runs), "command", "left_semi")
-
-
 def _videos(tasks: DataFrame) -> DataFrame:
     return tasks.where((F.col("input") == "video") & F.col("command").startswith("track"))
 
 
 def asked_entities(tasks: DataFrame, tracked: DataFrame, stored: DataFrame) -> DataFrame:
-    """(command, video, serial, origin, command_id): each entity a command works on, with its last asking.
+    """(command, video, serial, origin, command_id) with what the command stores: each entity it works on, last asking.
 
     ``tracked`` and ``stored`` are (video, serial). A command's models find the
     same for an entity whichever of its tasks asks, so one row is enough.
+    Commands that store nothing a model finds ask for no entity.
     """
-    by_video = tasks.groupBy("command", "input", "video").agg(F.max("command_id").alias("command_id"))
-    by_serial = (
-        tasks.where("input = 'serial'").groupBy("command", "video", "serial").agg(F.max("command_id").alias("command_id"))
-    )
-    columns = ["command", *ENTITY, "command_id"]
+    flags = [c for c in need_table(tasks.sparkSession).columns if c != "command"]
+    wanted = tasks.where("save_attr OR save_feature OR save_reid")
+    last = F.max("command_id").alias("command_id")
+    one = F.when(F.col("input") == "serial", F.col("serial")).alias("serial")
+    by_input = wanted.groupBy("command", "input", "video", one, *flags).agg(last)
+    by_video = by_input.where("input <> 'serial'").drop("serial")
+    columns = ["command", *ENTITY, "command_id", *flags]
     fresh = _videos(by_video).join(tracked, "video").select(*columns, F.lit("tracked").alias("origin"))
     held = by_video.where("input = 'entity'").join(stored, "video").select(*columns)
-    one = by_serial.join(stored, list(ENTITY)).select(*columns)
-    return fresh.unionByName(held.unionByName(one).withColumn("origin", F.lit("stored")))
+    named = by_input.where("input = 'serial'").join(stored, list(ENTITY)).select(*columns)
+    return fresh.unionByName(held.unionByName(named).withColumn("origin", F.lit("stored")))
 
 
 def track_rows(tasks: DataFrame, found: DataFrame, root: str, method: str, date: str) -> DataFrame:
     """One row for every task and tracked entity that is stored: each task has a path of its own."""
     video = F.col("video")
-    return with_edge(_videos(tasks), "track", "save_track").select("task", "command", "command_id", "video").join(
+    return _videos(tasks).where("save_track").select("task", "command", "command_id", "video").join(
         found.drop("boxes"), "video"
     ).select(
         "*",
@@ -103,17 +89,25 @@ def track_rows(tasks: DataFrame, found: DataFrame, root: str, method: str, date:
     )
 
 
-def sampled_boxes(boxes: DataFrame, samples: int) -> DataFrame:
-    """The boxes that uniform sampling keeps, one per row; ``boxes`` carry their length ``n``."""
-    return kept_samples(clear_unsampled(boxes, samples, ["origin", *ENTITY]))
+def sampled_boxes(found: DataFrame, stored: DataFrame, samples: int) -> DataFrame:
+    """(origin, video, serial, idx, x, y, w, h): the boxes that uniform sampling keeps, tracked and stored."""
+    n = F.size("boxes")
+    kept = F.filter("boxes", lambda b, i: keeps(i, n, samples) & b.patch.isNotNull() & (b.w * b.h != 0))
+    box = ["x", "y", "w", "h"]
+    fresh = found.select(
+        F.lit("tracked").alias("origin"),
+        *ENTITY,
+        F.posexplode(F.transform(kept, lambda b: F.struct(*[b[c].alias(c) for c in box]))).alias("idx", "_b"),
+    ).select("origin", *ENTITY, "idx", "_b.*")
+    held = kept_samples(stored.where(keeps(F.col("idx"), F.col("n"), samples)))
+    return fresh.unionByName(held.select(F.lit("stored").alias("origin"), *ENTITY, "idx", *box))
 
 
 def attributes(boxes: DataFrame, models: Models) -> DataFrame:
-    """Mean attribute scores of every entity over its sampled boxes, as one struct ``attr``."""
+    """Mean attribute scores of every entity over its sampled boxes, as one array ``scores``."""
     keys = ["origin", *ENTITY]
-    schema = "origin string, video string, serial long, " + ", ".join(f"{n} double" for n in models.names)
-    scores = score_batches(boxes.select(*keys, "x", "y", "w", "h"), models.recognizer, schema, f"{models.label}-attr")
-    return mean_scores(scores, models.names, keys).select(*keys, F.struct(*models.names).alias("attr"))
+    boxes = boxes.select(*keys, "x", "y", "w", "h")
+    return mean_vectors(boxes, models.recognizer, models.names, keys, f"{models.label}-attr").drop("n_samples")
 
 
 def features(boxes: DataFrame, models: Models) -> DataFrame:
@@ -127,28 +121,13 @@ def features(boxes: DataFrame, models: Models) -> DataFrame:
 
 
 def ranks(scores: DataFrame, models: Models) -> DataFrame:
-    """The ids most similar to every entity with scores, as one struct ``rank``."""
+    """The ids most similar to every entity with ``scores``, as one struct ``rank``."""
     schema = "origin string, video string, serial long, ids array<long>"
-    made = score_batches(scores, models.reider, schema, f"{models.label}-reid")
+    model = from_vectors(models.reider, models.names)
+    made = score_batches(scores.select("origin", *ENTITY, "scores"), model, schema, f"{models.label}-reid")
     return made.select("origin", *ENTITY, F.struct(*RANK).alias("rank"))
 
 
-def _only(rows: DataFrame, asked: DataFrame) -> DataFrame:
-    keys = ["origin", *ENTITY]
-    return rows.join(asked.select(*keys).distinct(), keys, "left_semi")
-
-
-def _group(rows: DataFrame, asked: DataFrame, name: str) -> DataFrame:
-    """What a model found for the entities, as updates of the commands that store it."""
-    joined = asked.join(rows, ["origin", *ENTITY])
-    return joined.select(
-        entity_id(F.col("video"), F.col("serial")).alias("entity_id"),
-        F.col("command").alias("data_type"),
-        name,
-        F.col("command_id").alias("seq"),
-    )
-
-
 def entity_updates(
     commands: DataFrame,
     files: DataFrame,
@@ -171,42 +150,51 @@ def entity_updates(
     Every task stores its own track; the last command to ask wins in the merge.
     ``keep`` stores what a model found, so that it runs once for all that follows.
     """
-    tasks = fan_out(commands, files)
+    keys = ["origin", *ENTITY]
+    needs = F.broadcast(need_table(commands.sparkSession))
+    tasks = fan_out(commands, files).join(needs, "command")
     found = keep(models.tracker(_videos(tasks).select("video").distinct()))
     held = stored_boxes.select(*ENTITY).distinct()
     asked = keep(asked_entities(tasks, found.select(*ENTITY), held))
 
-    to_score = _saved(asked, "attr")
-    to_extract = _saved(asked, "feature")
-    to_rank = _saved(asked, "reid")
-    with_scores = to_rank.join(F.broadcast(_fed_by_attr(tasks)), "command", "left_semi")
-    without = to_rank.join(F.broadcast(_fed_by_attr(tasks)), "command", "left_anti")
-
-    columns = ["origin", *ENTITY, "idx", "n", "x", "y", "w", "h", "patch"]
-    fresh = found.select(*ENTITY, F.size("boxes").alias("n"), F.posexplode("boxes").alias("idx", "_b"))
-    fresh = fresh.select(F.lit("tracked").alias("origin"), *ENTITY, "idx", "n", "_b.*").select(*columns)
-    boxes = fresh.unionByName(stored_boxes.withColumn("origin", F.lit("stored")).select(*columns))
-    boxes = sampled_boxes(_only(boxes, to_score.unionByName(to_extract).unionByName(with_scores)), models.samples)
-
-    scores = keep(attributes(_only(boxes, to_score.unionByName(with_scores)), models))
-    old = stored_attrs.select(F.lit("stored").alias("origin"), *ENTITY, *models.names)
-    new = _only(scores, with_scores).select("origin", *ENTITY, "attr.*")
-
-    parts = [
-        _group(scores, to_score, "attr"),
-        _group(features(_only(boxes, to_extract), models), to_extract, "feature"),
-        _group(ranks(new, models), with_scores, "rank"),
-        _group(ranks(_only(old, without), models), without, "rank"),
+    # One row per entity tells which models run on it.
+    any_of = lambda condition: F.max(F.expr(condition))
+    entities = asked.groupBy(*keys).agg(
+        any_of("save_attr OR (save_reid AND fed)").alias("_score"),
+        any_of("save_feature").alias("_extract"),
+        any_of("save_reid AND fed").alias("_rank_new"),
+        any_of("save_reid AND NOT fed").alias("_rank_old"),
+    )
+    boxes = sampled_boxes(found, stored_boxes, models.samples)
+    boxes = boxes.join(entities.where("_score OR _extract").select(*keys, "_score", "_extract"), keys)
+    scores = keep(attributes(boxes.where("_score"), models))
+    old = stored_attrs.select(F.lit("stored").alias("origin"), *ENTITY, F.array(*models.names).alias("scores"))
+    new = scores.join(entities.where("_rank_new").select(*keys), keys, "left_semi")
+    old = old.join(entities.where("_rank_old").select(*keys), keys, "left_semi")
+
+    made = [
+        scores.withColumn("use", F.lit("save_attr")),
+        features(boxes.where("_extract"), models).withColumn("use", F.lit("save_feature")),
+        ranks(new, models).withColumn("use", F.lit("fed")),
+        ranks(old, models).withColumn("use", F.lit("old")),
     ]
-    out = as_group(track_rows(tasks, found, root, method, date), "track", TRACK, F.col("command_id"))
-    for part in parts:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-def _fed_by_attr(tasks: DataFrame) -> DataFrame:
-    """Commands in whose plan attributes feed re-identification."""
-    return edge_table(tasks.sparkSession).where("src = 'attr' AND dst = 'reid'").select("command")
+    results = made[0]
+    for part in made[1:]:
+        results = results.unionByName(part, allowMissingColumns=True)
+    used = F.when(F.col("use") == "save_attr", F.col("save_attr")).when(
+        F.col("use") == "save_feature", F.col("save_feature")
+    ).otherwise(F.col("save_reid") & (F.col("fed") == (F.col("use") == "fed")))
+    attr = F.struct(*[F.get("scores", F.lit(i)).alias(n) for i, n in enumerate(models.names)])
+    stored = asked.join(results, keys).where(used).select(
+        entity_id(F.col("video"), F.col("serial")).alias("entity_id"),
+        F.col("command").alias("data_type"),
+        F.when(F.col("scores").isNotNull(), attr).alias("attr"),
+        "feature",
+        "rank",
+        F.col("command_id").alias("seq"),
+    )
+    tracks = as_group(track_rows(tasks, found, root, method, date), "track", TRACK, F.col("command_id"))
+    return tracks.unionByName(stored, allowMissingColumns=True)
 
 
 def command_saver(table: str, files: Callable[[], DataFrame], **how) -> Callable[[DataFrame, int], None]:
