@@ -16,7 +16,7 @@ from sightline.operators import aggregates as G
 from sightline.operators import entities as E
 from sightline.operators import joins as J
 from sightline.operators import ranking as W
-from sightline.operators import intervals, pairs, pivots, reports, routing, scoring, similarity, timetree
+from sightline.operators import intervals, packs, pairs, pivots, reports, routing, scoring, similarity, timetree
 from sightline.operators import sequences as S
 from sightline.plans import commands as C
 from sightline.plans import flow
@@ -770,3 +770,13 @@ def command_flow(t: Tables) -> DataFrame:
         F.coalesce("feature.is_finish", F.lit(False)).alias("is_finish"),
         F.coalesce(F.array_join(F.col("rank.ids").cast("array<string>"), ","), F.lit("")).alias("ids"),
     )
+
+
+@query
+def pack_files(t: Tables) -> DataFrame:
+    """Where the pixels of every box lie in the packs of its video."""
+    owner = t.numbered_entities().select("entity", "video", "serial")
+    member = F.concat_ws("/", "serial", "idx").alias("member")
+    files = t.patched_boxes().join(owner, "entity").select("video", member, F.octet_length("patch").alias("length"))
+    planned = packs.plan_packs(files, ["video"], target=4096, cell_packs=16)
+    return planned.select("video", "member", "length", "pack", F.col("offset").alias("at"))

@@ -577,6 +577,20 @@ _SELECT = {
                   case when o_orderkey % 4 > 0 then o_orderkey * 3 % (48 + o_orderkey * 37 % 1000000 % 30) end as y,
                   case when o_orderkey % 4 > 0 then o_orderkey % 100 / 100.0::double end as score from orders""",
     ),
+    "pack_files": (
+        "entity numbered box patched",
+        """select video, member, length, (cell << 32) + no as pack, cast(coalesce(sum(length) over (
+                      partition by video, cell, no order by member
+                      rows between unbounded preceding and 1 preceding), 0) as bigint) as at
+           from (select *, cast(coalesce(sum(length + 512) over (
+                                partition by video, cell order by member
+                                rows between unbounded preceding and 1 preceding), 0) as bigint) // 4096 as no
+                 from (select *, cast('0x' || substr(md5(member), 1, 8) as bigint) % (all_bytes // 65536 + 1) as cell
+                       from (select *, cast(sum(length + 512) over (partition by video) as bigint) as all_bytes
+                             from (select video, serial || '/' || idx as member,
+                                          cast(strlen(patch) as bigint) as length
+                                   from patched join numbered using (entity)))))""",
+    ),
     "command_flow": (
         "event_k message command known entity numbered file task box patched means",
         f"""select * from (

@@ -24,7 +24,10 @@ def _plain(path: str) -> str:
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Every file below a folder, with size and time; contents are not read. Local paths lose their scheme."""
+    """Every file below a folder, with size and time; contents are not read, and Spark lists no empty files.
+
+    Local paths lose their scheme.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
