@@ -51,13 +51,9 @@ def log_of(turns: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = turns.select("conv_id", "turn", "role", "text").withColumn("message_id", F.row_number().over(order).cast("long"))
     text = F.coalesce("text", F.lit(""))
-    chunks = F.ceil(F.char_length(text) / F.lit(delta_chars)).cast("int")
-    deltas = F.transform(
-        F.when(chunks > 0, F.sequence(F.lit(0), chunks - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(
-            (i + 1).alias("step"), F.lit("delta").alias("kind"), F.substring(text, i * delta_chars + 1, F.lit(delta_chars)).alias("text")
-        ),
-    )
+    # Cut in one pass: a substring would count characters from the start for every chunk.
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))
+    deltas = F.transform(chunks, lambda c, i: F.struct((i + 1).alias("step"), F.lit("delta").alias("kind"), c.alias("text")))
     start = F.array(F.struct(F.lit(0).alias("step"), F.lit("start").alias("kind"), F.lit("").alias("text")))
     events = rows.select("conv_id", "message_id", "role", F.explode(F.concat(start, deltas)).alias("e"))
     # The step within a message is the low half of the sequence number.
