@@ -31,6 +31,9 @@ SKIP_HEADER = 8
 SEEK_FOOTER = 9
 SEEK_ENTRY = 8
 
+# Stands for the date of capture where the caller names none.
+UNKNOWN_DATE = "1970-01-01T00:00:00Z"
+
 # Plain bytes gathered before a frame, and a bundle, is closed.
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
@@ -75,16 +78,21 @@ def _clean(value: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c[0]):02X}", value)
 
 
-def _record(row: dict) -> tuple[str, bytes]:
+def _record_id(page_id: int | None, digest: str) -> str:
+    # Repeated rows share an id and are found together.
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
+
+
+def _record(row: dict, date: str = UNKNOWN_DATE) -> tuple[str, bytes]:
     """Record id and bytes of one record; a revisit keeps the HTTP headers only."""
     payload = row["payload"] or b""
     digest = "sha1:" + base64.b32encode(bytes.fromhex(row["digest"])).decode()
-    # Repeated rows share an id and are found together.
-    record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{row["page_id"]}/{row["digest"]}')}>"
+    record_id = _record_id(row["page_id"], row["digest"])
     revisit = row["first"] is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = http.encode() + (b"" if revisit else payload)
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id}"]
+    head.append(f"WARC-Date: {date}")
     if row["url"] is not None:
         head.append(f"WARC-Target-URI: {_clean(row['url'])}")
     if row["page_id"] is not None:
@@ -92,6 +100,7 @@ def _record(row: dict) -> tuple[str, bytes]:
     head.append(f"WARC-Payload-Digest: {digest}")
     if revisit:
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+        head.append(f"WARC-Refers-To: {_record_id(row['first'], row['digest'])}")
         head.append(f"X-Refers-To-Page-ID: {row['first']}")
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return record_id, "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -192,9 +201,12 @@ def write_bundles(
     min_bytes: int = 0,
     frame_bytes: int = FRAME_BYTES,
     bundle_bytes: int = BUNDLE_BYTES,
+    date: str = UNKNOWN_DATE,
 ) -> DataFrame:
     """Write one record per row to bundles in ``folder``; returns the stored index, one row per frame.
 
+    ``date`` is the time of capture (``2024-05-01T12:00:00Z``), so that a task that is tried again writes the same.
+
     Null html is an empty payload, a null url or id leaves its header out, and
     control characters of a url are percent-encoded. A task holds one frame;
     a record longer than a frame has a frame of its own. A task that is tried
@@ -226,7 +238,7 @@ def write_bundles(
             closed = []
             for row in batch.to_pylist():
                 bundle = bundle or _Bundle(folder)
-                record_id, data = _record(row)
+                record_id, data = _record(row, date)
                 bundle.add(record_id, row["page_id"], data)
                 if bundle.held >= frame_bytes:
                     closed.append(bundle.close_frame())
@@ -277,6 +289,44 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
     return index.mapInPandas(read, RECORDS)
 
 
+def _places(plain: bytes) -> list[dict]:
+    """Where the records of a frame lie."""
+    places, at = [], 0
+    while at < len(plain):
+        body = plain.index(b"\r\n\r\n", at) + 4
+        head, _ = _headers(plain[at:body])
+        end = body + int(head["content-length"]) + 4
+        page = head.get("x-page-id")
+        places.append({
+            "record_id": head["warc-record-id"], "page_id": None if page is None else int(page), "start": at, "length": end - at,
+        })
+        at = end
+    return places
+
+
+def rebuild_index(bundles: DataFrame) -> DataFrame:
+    """The index of bundles (a column ``bundle``) whose index is lost, out of their seek tables.
+
+    A task holds one frame; a null path gives no row, a path that is named twice gives its frames once, and a file
+    without a seek table is an error.
+    """
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpacker = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for path in batch.bundle:
+                frames = read_seek_table(path)
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_file(name) as source:
+                    for number, (at, size, plain_size) in enumerate(frames):
+                        source.seek(at)
+                        plain = unpacker.decompress(source.read(size), max_output_size=plain_size)
+                        yield pd.DataFrame([{
+                            "bundle": path, "frame": number, "frame_offset": at, "frame_size": size, "records": _places(plain),
+                        }])
+
+    return bundles.select("bundle").where(F.col("bundle").isNotNull()).distinct().mapInPandas(read, INDEX)
+
+
 def find(index: DataFrame, record_ids: DataFrame) -> DataFrame:
     """Index rows cut down to the records with the given ids (a column ``record_id``)."""
     flat = index.select("bundle", "frame", "frame_offset", "frame_size", F.explode("records").alias("r"))

@@ -76,6 +76,26 @@ def test_bundles_have_frames_a_seek_table_and_random_access(spark):
     assert {(r.page_id, bytes(r.payload).decode()) for r in found} == {(7, rows[7][2]), (150, rows[150][2])}
 
 
+def test_index_is_rebuilt_from_the_seek_tables(spark):
+    rows = [(i, f"http://a/{i}", f"text {i % 50} \r\n\r\n" * 40, "x") for i in range(120)] + [(None, None, None, None)] * 2
+    folder = shared_path(spark, "warc-rebuilt")
+    index = warc.write_bundles(_pages(spark, rows).coalesce(1), folder, frame_bytes=8_000, bundle_bytes=40_000)
+    paths = index.select("bundle").unionByName(spark.createDataFrame([(None,)], "bundle string"))
+    key = lambda r: (r.bundle, r.frame)
+    assert sorted(warc.rebuild_index(paths).collect(), key=key) == sorted(index.collect(), key=key)
+    assert warc.rebuild_index(paths.where("bundle IS NULL")).collect() == []
+
+
+def test_records_have_what_the_standard_asks_for():
+    row = {"payload": b"abc", "digest": hashlib.sha1(b"abc").hexdigest(), "page_id": 1, "first": None, "url": "http://a/"}
+    known, first = warc._record(row, "2024-05-01T12:00:00Z")
+    head = first.split(b"\r\n\r\n")[0].decode().split("\r\n")
+    assert "WARC-Date: 2024-05-01T12:00:00Z" in head
+    again = warc._record(row | {"page_id": 2, "first": 1}, "2024-05-01T12:00:00Z")[1].decode()
+    assert f"WARC-Refers-To: {known}\r\n" in again and "WARC-Type: revisit" in again
+    assert warc.parse_record(again.encode())["refers_to"] == 1
+
+
 def test_damaged_payload_is_told():
     row = {"payload": b"abc", "digest": hashlib.sha1(b"abc").hexdigest(), "page_id": 1, "first": None, "url": None}
     data = warc._record(row)[1]
@@ -90,6 +110,19 @@ def test_empty_pages(spark):
 
 # Chat.
 
+
+def test_long_messages_are_cut_in_one_pass(spark):
+    texts = ["a" * 3_000_000, "\U0001f600\n" * 5_000, "x" * 4096, "y" * 4097, "", None]
+    turns = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    log = chat.log_of(turns).orderBy("seq").collect()
+    parts = {}
+    for r in log:
+        parts.setdefault(r.message_id, []).append(r.text)
+    assert ["".join(parts[i + 1]) for i in range(len(texts))] == [t or "" for t in texts]
+    assert [len(parts[i + 1]) - 1 for i in range(len(texts))] == [733, 3, 1, 2, 0, 0]
+    assert max(len(r.text) for r in log) == chat.DELTA_CHARS
+
+
 TURNS = "conv_id long, turn long, role string, text string, segments string"
 
 
