@@ -179,3 +179,27 @@ def test_report_rows_survive_json(spark, name):
     sent = rows.select(F.to_json(F.struct("*")).alias("value"))
     back = sent.select(F.from_json("value", kind).alias("r")).select("r.*")
     assert back.schema == kind and back.collect() == rows.collect()
+
+
+def test_mean_vectors(spark):
+    def factory():
+        def score(boxes):
+            return pd.DataFrame({"k": boxes.k, "a": boxes.x.astype("float64"), "b": boxes.x.where(boxes.x > 2).astype("float64")})
+
+        return score
+
+    rows = [("u", 1), ("u", 3), ("u", 8), ("v", 1), ("v", 2), (None, 5)]
+    df = spark.createDataFrame(rows, "k string, x long").repartition(4)
+    got = {r.k: (r.n_samples, r.scores) for r in scoring.mean_vectors(df, factory, ["a", "b"], ["k"], "means").collect()}
+    assert got == {"u": (3, [4.0, 5.5]), "v": (2, [1.5, None]), None: (1, [5.0, 5.0])}
+    assert scoring.mean_vectors(df.limit(0), factory, ["a", "b"], ["k"], "means").collect() == []
+
+
+def test_models_of_named_scores_read_an_array(spark):
+    def factory():
+        return lambda rows: pd.DataFrame({"k": rows.k, "gap": rows.b - rows.a})
+
+    df = spark.createDataFrame([("u", [1.0, 3.5]), ("v", [2.0, None])], "k string, scores array<double>")
+    model = scoring.from_vectors(factory, ["a", "b"])
+    got = {r.k: r.gap for r in scoring.score_batches(df, model, "k string, gap double", "gap").collect()}
+    assert got == {"u": 2.5, "v": None}
