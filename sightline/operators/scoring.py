@@ -51,7 +51,10 @@ def _sums(scores: pd.DataFrame, names: Sequence[str], keys: Sequence[str]) -> pd
     out = scores[list(keys)].iloc[order[starts]].reset_index(drop=True)
     out["n"] = np.diff(starts, append=len(order))
     out["sums"] = list(np.add.reduceat(np.where(known, values[order], 0.0), starts))
-    out["counts"] = list(np.add.reduceat(known.astype("int64"), starts))
+    # Null where no score is missing.
+    counts = np.add.reduceat(known.astype("int64"), starts)
+    full = (counts == out["n"].to_numpy()[:, None]).all(axis=1)
+    out["counts"] = [None if f else c for f, c in zip(full, counts, strict=True)]
     return out
 
 
@@ -81,17 +84,21 @@ def mean_vectors(
     schema = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in keys)
     parts = score_batches(boxes, build, f"{schema}, n long, sums array<double>, counts array<long>", name)
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    none = F.struct(
-        F.array_repeat(F.lit(0.0), len(names)).alias("sums"), F.array_repeat(F.lit(0).cast("long"), len(names)).alias("counts")
+    none = lambda zero: F.array_repeat(zero, len(names))
+    sums = F.when(F.size("parts") == 1, F.get("parts", F.lit(0)).sums).otherwise(
+        F.aggregate("parts", none(F.lit(0.0)), lambda t, p: add(t, p.sums))
     )
-    total = F.aggregate(
-        "parts", none, lambda t, p: F.struct(add(t.sums, p.sums).alias("sums"), add(t.counts, p.counts).alias("counts"))
+    counted = F.aggregate(
+        "parts", none(F.lit(0).cast("long")), lambda t, p: add(t, F.coalesce(p.counts, F.array_repeat(p.n, len(names))))
     )
+    counts = F.when(F.exists("parts", lambda p: p.counts.isNotNull()), counted)
+    known = F.zip_with("sums", "counts", lambda s, c: F.when(c > 0, s / c))
+    scores = F.when(F.col("counts").isNull(), F.transform("sums", lambda s: s / F.col("n_samples"))).otherwise(known)
     return (
         parts.groupBy(*keys)
-        .agg(F.sum("n").alias("n_samples"), F.collect_list(F.struct("sums", "counts")).alias("parts"))
-        .select(*keys, "n_samples", total.alias("t"))
-        .select(*keys, "n_samples", F.zip_with("t.sums", "t.counts", lambda s, c: F.when(c > 0, s / c)).alias("scores"))
+        .agg(F.sum("n").alias("n_samples"), F.collect_list(F.struct("n", "sums", "counts")).alias("parts"))
+        .select(*keys, "n_samples", sums.alias("sums"), counts.alias("counts"))
+        .select(*keys, "n_samples", scores.alias("scores"))
     )
 
 
