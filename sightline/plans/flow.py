@@ -166,33 +166,25 @@ def entity_updates(
         any_of("save_reid AND NOT fed").alias("_rank_old"),
     )
     boxes = sampled_boxes(found, stored_boxes, models.samples)
-    boxes = boxes.join(entities.where("_score OR _extract").select(*keys, "_score", "_extract"), keys)
+    boxes = keep(boxes.join(entities.where("_score OR _extract").select(*keys, "_score", "_extract"), keys))
     scores = keep(attributes(boxes.where("_score"), models))
     old = stored_attrs.select(F.lit("stored").alias("origin"), *ENTITY, F.array(*models.names).alias("scores"))
     new = scores.join(entities.where("_rank_new").select(*keys), keys, "left_semi")
     old = old.join(entities.where("_rank_old").select(*keys), keys, "left_semi")
 
-    made = [
-        scores.withColumn("use", F.lit("save_attr")),
-        features(boxes.where("_extract"), models).withColumn("use", F.lit("save_feature")),
-        ranks(new, models).withColumn("use", F.lit("fed")),
-        ranks(old, models).withColumn("use", F.lit("old")),
-    ]
-    results = made[0]
-    for part in made[1:]:
-        results = results.unionByName(part, allowMissingColumns=True)
-    used = F.when(F.col("use") == "save_attr", F.col("save_attr")).when(
-        F.col("use") == "save_feature", F.col("save_feature")
-    ).otherwise(F.col("save_reid") & (F.col("fed") == (F.col("use") == "fed")))
+    # All that was found of an entity lies in one row, and so does all that a command stores of it.
+    results = entities.select(*keys).join(scores, keys, "left").join(features(boxes.where("_extract"), models), keys, "left")
+    results = results.join(ranks(new, models).withColumnRenamed("rank", "rank_new"), keys, "left")
+    results = results.join(ranks(old, models).withColumnRenamed("rank", "rank_old"), keys, "left")
     attr = F.struct(*[F.get("scores", F.lit(i)).alias(n) for i, n in enumerate(models.names)])
-    stored = asked.join(results, keys).where(used).select(
+    stored = asked.join(results, keys).select(
         entity_id(F.col("video"), F.col("serial")).alias("entity_id"),
         F.col("command").alias("data_type"),
-        F.when(F.col("scores").isNotNull(), attr).alias("attr"),
-        "feature",
-        "rank",
+        F.when(F.col("save_attr") & F.col("scores").isNotNull(), attr).alias("attr"),
+        F.when(F.col("save_feature"), F.col("feature")).alias("feature"),
+        F.when(F.col("save_reid"), F.when(F.col("fed"), F.col("rank_new")).otherwise(F.col("rank_old"))).alias("rank"),
         F.col("command_id").alias("seq"),
-    )
+    ).where("attr IS NOT NULL OR feature IS NOT NULL OR rank IS NOT NULL")
     tracks = as_group(track_rows(tasks, found, root, method, date), "track", TRACK, F.col("command_id"))
     return tracks.unionByName(stored, allowMissingColumns=True)
 
