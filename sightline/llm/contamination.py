@@ -2,19 +2,23 @@
 
 An item of n characters may differ in ``k`` of them, a share of n. Cut into
 k + 1 pieces, at least one piece of it is in any passage that near without a
-change. The pieces of all items are searched in one pass over a text, and each
-hit is verified with Myers' bit-parallel edit distance around it.
+change. The pieces of all items are searched in one pass over a text. What lies
+around the hits of an item, overlaps joined, is verified with Myers'
+bit-parallel edit distance, so each character is verified once for an item
+however often its pieces repeat.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import sys
 from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.llm.common import small_batches
@@ -85,6 +89,17 @@ def _start(pattern: str, text: str, end: int, most: int) -> int:
     return end - (found[1] if found else len(back))
 
 
+def merged(regions: list[list[int]]) -> list[list[int]]:
+    """Regions in order, those that overlap or touch joined."""
+    out: list[list[int]] = []
+    for low, high in sorted(regions):
+        if out and low <= out[-1][1]:
+            out[-1][1] = max(high, out[-1][1])
+        else:
+            out.append([low, high])
+    return out
+
+
 class Matcher:
     """Searches texts for a block of items."""
 
@@ -119,27 +134,39 @@ class Matcher:
                 best[number] = min(best.get(number, found), found)
         return [(self.items[n][0], start, stop, distance) for n, (distance, start, stop) in sorted(best.items())]
 
-    def _window(self, text: str) -> dict[int, tuple[int, int, int]]:
-        best: dict[int, tuple[int, int, int]] = {}
-        tried: set[tuple[int, int]] = set()
+    def _regions(self, text: str) -> dict[int, list[list[int]]]:
+        """Per item the [low, high] of the text around its pieces; regions that overlap are one."""
+        found: dict[int, list[list[int]]] = {}
         for last, (length, places) in self.automaton.iter(text):
             for number, place in places:
-                if best.get(number, (1,))[0] == 0:
-                    continue
                 item, errors = self.items[number][1:]
                 start = last + 1 - length - place
-                if (number, start) in tried:
-                    continue
-                tried.add((number, start))
-                low = max(0, start - errors)
-                around = text[low : start + len(item) + errors]
-                if len(around) < len(item) - errors:
+                low, high = max(0, start - errors), min(len(text), start + len(item) + errors)
+                regions = found.setdefault(number, [])
+                if regions and low <= regions[-1][1] and high >= regions[-1][0]:
+                    regions[-1] = [min(low, regions[-1][0]), max(high, regions[-1][1])]
+                else:
+                    regions.append([low, high])
+        return {number: merged(regions) for number, regions in found.items()}
+
+    def _window(self, text: str) -> dict[int, tuple[int, int, int]]:
+        """Nearest passage per item as (distance, start, stop); a character is verified once for an item."""
+        best: dict[int, tuple[int, int, int]] = {}
+        for number, regions in self._regions(text).items():
+            item, errors = self.items[number][1:]
+            most = errors
+            for low, high in regions:
+                if high - low < len(item) - errors:
                     continue
-                found = best_end(item, around, errors)
+                around = text[low:high]
+                found = best_end(item, around, most)
                 if found:
                     distance, end = found
-                    passage = (distance, low + _start(item, around, end, errors), low + end)
-                    best[number] = min(best.get(number, passage), passage)
+                    best[number] = (distance, low + _start(item, around, end, errors), low + end)
+                    # Only a nearer passage replaces the first.
+                    most = distance - 1
+                if most < 0:
+                    break
         return best
 
 
@@ -153,15 +180,26 @@ def _blocks(benchmark: DataFrame, item_chars: int) -> Iterator[list[tuple[int, s
         yield [(r["item_id"], normal(r["text"])) for r in own.toLocalIterator()]
 
 
-def passages(text: Column, items: list[tuple[int, str]], error_rate: float = ERROR_RATE, least: int = LEAST_CHARS) -> Column:
+def passages(
+    spark: SparkSession, text: Column, items: list[tuple[int, str]], error_rate: float = ERROR_RATE, least: int = LEAST_CHARS
+) -> Column:
     """Array of (item_id, start, stop, distance) of a text: the nearest passage of each item that is near enough.
 
     Places count characters of the normalised text. Null and empty texts have none.
     """
 
+    what = (items, error_rate, least)
+    mark = hashlib.sha256(repr(what).encode("utf-8", "surrogatepass")).hexdigest()
+    shared = spark.sparkContext.broadcast(what)
+
     @F.pandas_udf(HITS)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(items, error_rate, least)
+        # A worker serves many tasks and keeps the matcher of the last block.
+        held = vars(sys).setdefault("_sightline_matcher", {})
+        if mark not in held:
+            held.clear()
+            held[mark] = Matcher(*shared.value)
+        matcher = held[mark]
         names = ("item_id", "start", "stop", "distance")
         for batch in batches:
             yield pd.Series(
@@ -185,7 +223,8 @@ def leaks(
     small_batches(docs.sparkSession)
     out = None
     for items in _blocks(benchmark, item_chars):
-        found = docs.select("doc_id", F.explode(passages(F.col("text"), items, error_rate, least)).alias("hit"))
+        hits = passages(docs.sparkSession, F.col("text"), items, error_rate, least)
+        found = docs.select("doc_id", F.explode(hits).alias("hit"))
         found = found.select("doc_id", "hit.*")
         out = found if out is None else out.unionByName(found)
     return out
@@ -197,5 +236,5 @@ def keep_clean(
     """Documents without a passage of any item; the columns are those of ``docs``."""
     small_batches(docs.sparkSession)
     for items in _blocks(benchmark, item_chars):
-        docs = docs.where(F.size(passages(F.col("text"), items, error_rate, least)) == 0)
+        docs = docs.where(F.size(passages(docs.sparkSession, F.col("text"), items, error_rate, least)) == 0)
     return docs

@@ -241,6 +241,31 @@ def test_leaks_against_brute_force(spark, monkeypatch):
     assert contamination.keep_clean(_docs(spark, []), benchmark).count() == 0
 
 
+def test_a_character_is_verified_once_however_often_a_piece_repeats(monkeypatch):
+    item = "the quick brown fox jumps over the lazy dog beside the river bank"
+    matcher = contamination.Matcher([(1, item)], 0.06, 30)
+    piece = contamination.pieces(item, 3)[1][1]
+    read, myers = [], contamination.best_end
+    monkeypatch.setattr(contamination, "best_end", lambda p, t, most: read.append(len(t)) or myers(p, t, most))
+    text = piece * 2000
+    assert matcher.search(text) == [] and sum(read) <= len(text)
+    # A passage in the middle is found where it lies, and so is the nearer of two.
+    near = item.replace("fox", "fax").replace("dog", "dig")
+    text = piece * 500 + " " + near + " " + piece * 500 + " " + item.replace("lazy", "lozy") + " z"
+    [(_, start, stop, distance)] = matcher.search(text)
+    assert distance == 1 and text[start:stop] == item.replace("lazy", "lozy")
+
+
+def test_leaks_in_megabytes():
+    rng = random.Random(3)
+    item = " ".join(_words(rng, "aa", 30).split())
+    text = _words(rng, "cc", 300_000)
+    matcher = contamination.Matcher([(1, contamination.normal(item))], 0.06, 30)
+    assert len(text) > 2 << 20 and matcher.search(contamination.normal(text)) == []
+    [hit] = matcher.search(contamination.normal(text + " " + _mutate(rng, item, 2) + " " + text))
+    assert hit[0] == 1 and hit[3] <= 2
+
+
 # Pipeline.
 
 
