@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.llm.common import components, lower_ascii
@@ -23,8 +23,10 @@ RULES = (
     ("com", "/de/", "block"),
 )
 
-# Rules are part of the plan; longer lists belong in a table.
-MAX_RULES = 2_000
+# Up to so many rules are part of the plan; longer lists become a table that is joined.
+PLAN_RULES = 256
+
+HIT = "struct<length:int,rule:string,verdict:string>"
 
 _TAG = r"(?is)<{name}\b[^>]*>"
 _ATTRIBUTE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
@@ -46,8 +48,6 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     A rule fits its host and all subdomains where the path starts with the
     rule's. Of two rules of one length the later in code point order wins.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     hits = [
         F.when(
             ((host == F.lit(h)) | host.endswith(f".{h}")) & path.startswith(p),
@@ -55,8 +55,53 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
         )
         for h, p, v in rules
     ]
-    none = F.lit(None).cast("struct<length:int,rule:string,verdict:string>")
-    return F.array_max(F.array(none, *hits))
+    return F.array_max(F.array(F.lit(None).cast(HIT), *hits))
+
+
+def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Rules as a table (host, path, verdict)."""
+    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+
+
+def suffixes(host: Column) -> Column:
+    """The host itself and what follows each of its dots."""
+    parts = F.split(host, r"\.", -1)
+    return F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, n, F.size(parts)), ".")
+    )
+
+
+def joined_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, hit) of the distinct (host, path) that any rule fits; ``hit`` is that of :func:`matching_rule`.
+
+    ``rules`` is a table (host, path, verdict) of any length; rules with a null
+    are left out. A place meets the rules on equality: every suffix of its host
+    first learns which lengths the paths of that host's rules have, and its path
+    is cut to these lengths. So a place makes rows for its suffixes and their
+    lengths, and not for all the rules of a host.
+    """
+    rules = rules.dropna(subset=["host", "path", "verdict"]).select("host", "path", "verdict")
+    own = F.struct(
+        F.char_length(F.concat("host", "path")).alias("length"), F.concat("host", "path").alias("rule"), "verdict"
+    )
+    # One verdict for each host and path, so that repeated rules make no rows.
+    best = rules.groupBy(F.col("host").alias("_suffix"), F.col("path").alias("_prefix")).agg(F.max(own).alias("_hit"))
+    lengths = best.groupBy("_suffix").agg(F.collect_set(F.char_length("_prefix")).alias("_lengths"))
+    known = places.select("host", "path").distinct()
+    cut = known.select("*", F.explode(suffixes(F.col("host"))).alias("_suffix")).join(lengths, "_suffix")
+    fitting = F.filter("_lengths", lambda n: n <= F.char_length("path"))
+    cut = cut.select("host", "path", "_suffix", F.explode(fitting).alias("_n"))
+    cut = cut.withColumn("_prefix", F.substring("path", F.lit(1), F.col("_n")))
+    return cut.join(best, ["_suffix", "_prefix"]).groupBy("host", "path").agg(F.max("_hit").alias("hit"))
+
+
+def with_hits(places: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame) -> DataFrame:
+    """Rows with (host, path) and ``hit``, the longest rule that fits or null."""
+    if not isinstance(rules, DataFrame):
+        if len(rules) <= PLAN_RULES:
+            return places.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules))
+        rules = rule_table(places.sparkSession, rules)
+    return places.join(joined_rules(places, rules), ["host", "path"], "left")
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -120,12 +165,13 @@ def link_edges(pages: DataFrame) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame = RULES, redirects: DataFrame | None = None
 ) -> DataFrame:
     """Verdict of every page: (page_id, host, path, rule, verdict, alias_of).
 
     ``pages`` is (page_id, url, html); ``redirects`` adds edges (a, b) between
-    URLs, such as a crawler's log. A rule that fits a page decides it. A page
+    URLs, such as a crawler's log. ``rules`` is a list or a table (host, path,
+    verdict) of any length. A rule that fits a page decides it. A page
     without rule is blocked if a rule blocks any alias, be it crawled or only
     linked to, and otherwise allowed; ``alias_of`` is the least URL of its
     group. A null URL, or one without ``://``, has an empty host and path and
@@ -136,15 +182,15 @@ def judge(
         known = redirects.where((F.instr("a", "://") > 0) & (F.instr("b", "://") > 0))
         edges = edges.unionByName(known.select(without_fragment("a").alias("a"), without_fragment("b").alias("b")))
     groups = components(edges)
-    judged = groups.withColumn("hit", matching_rule(host_of(F.col("node")), path_of(F.col("node")), rules))
+    places = groups.withColumns({"host": host_of(F.col("node")), "path": path_of(F.col("node"))})
+    judged = with_hits(places, rules)
     blocked = judged.where(F.col("hit.verdict") == "block").select("root").distinct().withColumn("blocked", F.lit(True))
     groups = groups.join(blocked, "root", "left")
-    hit = matching_rule(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     # A page that has no alias gets a key of its own, so that such pages don't meet in one task.
     alone = F.concat(F.lit(" "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("host"))
     node = F.when(F.instr("url", "://") > 0, without_fragment("url")).otherwise(alone)
-    rows = rows.withColumn("hit", hit).withColumn("node", F.coalesce(node, alone)).join(groups, "node", "left")
+    rows = with_hits(rows, rules).withColumn("node", F.coalesce(node, alone)).join(groups, "node", "left")
     by_alias = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(
         "page_id",

@@ -232,6 +232,43 @@ def test_rules(spark):
     assert got[8] == ("example.org", "", None, "allow") and got[9][2:] == ("org/", "allow")
 
 
+def _longest(host, path, rules):
+    """The rule of a place, rule by rule."""
+    fit = [
+        (len(h + p), h + p, v)
+        for h, p, v in rules
+        if None not in (h, p, v) and (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    return max(fit, default=(None, None, "allow"))[1:]
+
+
+def test_a_table_of_rules_against_rule_by_rule(spark, monkeypatch):
+    rng = random.Random(11)
+    labels, parts = ["a", "b", "co", "x\U0001f600", ""], ["", "/", "/d", "/d/", "/\U0001f600", "/d/e", "/dd/e/f"]
+
+    def host():
+        return ".".join(rng.choices(labels, k=rng.randint(1, 3)))
+
+    rules = [(host(), rng.choice(parts), rng.choice(["allow", "block"])) for _ in range(400)]
+    rules += [(None, "/", "block"), ("a", None, "block"), ("a", "/d", None)] + rules[:30]
+    rules += [("hot.net", f"/{n}/", "block") for n in range(500)]
+    rows = [(n, f"http://{host()}{rng.choice(parts)}{rng.choice(['', 'x', '?q'])}", None) for n in range(400)]
+    rows += [(1000 + n, f"http://w.hot.net/{n}/x", None) for n in range(490, 510)]
+    rows += [(2000, None, None), (2001, "", None), (2002, "none", None)] + rows[:20]
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = _judge(spark, rows, rules=table)
+    assert len(got) == len({r[0] for r in rows})
+    for host_, path, rule, verdict in got.values():
+        assert (rule, verdict) == _longest(host_, path, rules)
+    assert {v[3] for v in got.values()} == {"allow", "block"}
+    # A list is judged like its table, whether it is part of the plan or joined.
+    whole = [r for r in rules if None not in r][:200]
+    in_plan = _judge(spark, rows, rules=whole)
+    monkeypatch.setattr(urls, "PLAN_RULES", 10)
+    assert _judge(spark, rows, rules=whole) == in_plan
+    assert {v[2:] for v in _judge(spark, rows, rules=table.limit(0)).values()} == {(None, "allow")}
+
+
 def test_aliases_of_blocked_pages(spark):
     got = _judge(spark, [
         (1, "http://a.net/1", CANONICAL.format("http://b.net/1")),
