@@ -13,19 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sightline.operators.ranking import HOT_ROWS, hot_keys
+from sightline.session import kept
+
 
 def score_batches(
     df: DataFrame,
     factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
     schema: T.StructType | str,
     name: str,
+    gather: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] | None = None,
 ) -> DataFrame:
     """Run a model over Arrow batches; it may return any number of rows per batch.
 
     ``factory`` builds the model once per Python worker. A worker keeps one
     model under each ``name``; another factory under that name, or one with
     other values inside, replaces it. Select the columns the model reads before
-    calling.
+    calling. ``gather`` turns all that the model returns in a task into the
+    task's rows.
     """
     content = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
 
@@ -35,9 +40,8 @@ def score_batches(
         models = vars(sys).setdefault("_sightline_models", {})
         if models.get(name, (None,))[0] != content:
             models[name] = content, factory()
-        model = models[name][1]
-        for batch in batches:
-            yield model(batch)
+        made = map(models[name][1], batches)
+        yield from gather(made) if gather else made
 
     return df.mapInPandas(run, schema)
 
@@ -45,28 +49,91 @@ def score_batches(
 def _sums(scores: pd.DataFrame, names: Sequence[str], keys: Sequence[str]) -> pd.DataFrame:
     values = scores[list(names)].to_numpy("float64")
     group = scores.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
-    order = np.argsort(group, kind="stable")
-    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-    known = ~np.isnan(values[order])
+    order = np.arange(len(group))
+    if (np.diff(group) < 0).any():
+        order = np.argsort(group, kind="stable")
+        group, values = group[order], values[order]
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
     out = scores[list(keys)].iloc[order[starts]].reset_index(drop=True)
     out["n"] = np.diff(starts, append=len(order))
-    out["sums"] = list(np.add.reduceat(np.where(known, values[order], 0.0), starts))
     # Null where no score is missing.
-    counts = np.add.reduceat(known.astype("int64"), starts)
-    full = (counts == out["n"].to_numpy()[:, None]).all(axis=1)
-    out["counts"] = [None if f else c for f, c in zip(full, counts, strict=True)]
+    out["counts"] = None
+    missing = np.isnan(values)
+    if missing.any():
+        values = np.where(missing, 0.0, values)
+        counts = np.add.reduceat((~missing).astype("int64"), starts)
+        full = (counts == out["n"].to_numpy()[:, None]).all(axis=1)
+        out["counts"] = [None if f else c for f, c in zip(full, counts, strict=True)]
+    out["sums"] = list(np.add.reduceat(values, starts))
+    return out[[*keys, "n", "sums", "counts"]]
+
+
+def _key(rows: pd.DataFrame, keys: Sequence[str], at: int) -> tuple:
+    return tuple(None if pd.isna(v) else v for v in (rows[k].iloc[at] for k in keys))
+
+
+def _counted(n: int, counts, width: int) -> np.ndarray:
+    return np.full(width, n, dtype="int64") if counts is None else counts
+
+
+def _means(parts: pd.DataFrame, keys: Sequence[str]) -> pd.DataFrame:
+    """Sums of whole keys -> their means; null where a score is missing in all boxes."""
+    out = parts[list(keys)].reset_index(drop=True)
+    out["n_samples"] = parts["n"].to_numpy("int64")
+    scores = list(np.stack(parts["sums"].to_list()) / out["n_samples"].to_numpy()[:, None])
+    for i, (sums, counts) in enumerate(zip(parts["sums"], parts["counts"], strict=True)):
+        if counts is not None:
+            scores[i] = [s / c if c else None for s, c in zip(sums.tolist(), counts.tolist(), strict=True)]
+    out["scores"] = pd.Series(scores, dtype=object)
     return out
 
 
+def _gather_means(keys: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Means of a task's keys, whose rows come one key after the other; the last key of a batch may go on in the next."""
+
+    def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for part in parts:
+            if part.empty:
+                continue
+            if last is not None and _key(last, keys, 0) == _key(part, keys, 0):
+                n, sums, counts = (last[c].iloc[0] for c in ("n", "sums", "counts"))
+                more, added, known = (part[c].iloc[0] for c in ("n", "sums", "counts"))
+                if counts is not None or known is not None:
+                    counts = _counted(n, counts, len(sums)) + _counted(more, known, len(sums))
+                whole = part.iloc[:1].copy()
+                whole["n"], whole["sums"], whole["counts"] = n + more, [sums + added], [counts]
+                part = pd.concat([whole, part.iloc[1:]], ignore_index=True)
+            elif last is not None:
+                yield _means(last, keys)
+            last = part.iloc[-1:]
+            if len(part) > 1:
+                yield _means(part.iloc[:-1], keys)
+        if last is not None:
+            yield _means(last, keys)
+
+    return gather
+
+
 def mean_vectors(
-    boxes: DataFrame, factory: Callable, names: Sequence[str], keys: Sequence[str], name: str
+    boxes: DataFrame,
+    factory: Callable,
+    names: Sequence[str],
+    keys: Sequence[str],
+    name: str,
+    hot_rows: int = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """(keys, n_samples, scores): the mean of every score over the boxes of a key, as one array.
 
-    ``factory`` is a recognizer's. A batch is summed before it leaves its task,
-    so one short row per key and batch is shuffled, and no plan holds an
-    aggregate for every score. Missing scores don't count; a score that is
-    missing in all boxes is null.
+    ``factory`` is a recognizer's; it returns rows with the keys of its boxes,
+    in their order. The boxes of a key meet before they are scored, so that
+    short boxes are shuffled and not their many scores, and a task returns
+    means. Only the boxes of a key with more than about ``hot_rows`` are scored
+    wherever they lie, and their sums are shuffled. ``probe`` holds the keys of
+    at least the same rows and is cheaper to read, see
+    :func:`~sightline.operators.ranking.number_rows`. Missing scores don't
+    count; a score that is missing in all boxes is null.
     """
     names, keys = list(names), list(keys)
 
@@ -82,14 +149,30 @@ def mean_vectors(
         return sums
 
     schema = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in keys)
-    parts = score_batches(boxes, build, f"{schema}, n long, sums array<double>, counts array<long>", name)
+
+    def small(df: DataFrame) -> DataFrame:
+        met = df.repartition(*keys).sortWithinPartitions(*keys)
+        return score_batches(met, build, f"{schema}, n_samples long, scores array<double>", name, _gather_means(keys))
+
+    hot = hot_keys(boxes if probe is None else probe, keys, hot_rows)
+    if hot is None:
+        return small(boxes)
+    boxes = kept(boxes)
+    match = [F.col(f"b.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    cold, large = (boxes.alias("b").join(hot.alias("h"), match, how) for how in ("left_anti", "left_semi"))
+    parts = score_batches(large, build, f"{schema}, n long, sums array<double>, counts array<long>", name)
+    return small(cold).unionByName(_sum_parts(parts, len(names), keys))
+
+
+def _sum_parts(parts: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
+    """Means of keys whose sums come from many tasks."""
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    none = lambda zero: F.array_repeat(zero, len(names))
+    none = lambda zero: F.array_repeat(zero, width)
     sums = F.when(F.size("parts") == 1, F.get("parts", F.lit(0)).sums).otherwise(
         F.aggregate("parts", none(F.lit(0.0)), lambda t, p: add(t, p.sums))
     )
     counted = F.aggregate(
-        "parts", none(F.lit(0).cast("long")), lambda t, p: add(t, F.coalesce(p.counts, F.array_repeat(p.n, len(names))))
+        "parts", none(F.lit(0).cast("long")), lambda t, p: add(t, F.coalesce(p.counts, F.array_repeat(p.n, width)))
     )
     counts = F.when(F.exists("parts", lambda p: p.counts.isNotNull()), counted)
     known = F.zip_with("sums", "counts", lambda s, c: F.when(c > 0, s / c))

@@ -689,7 +689,10 @@ def scores_hook(t: Tables) -> DataFrame:
     """Attributes of every entity from a stand-in model over its sampled boxes."""
     names = list(ATTRS)
     boxes = _kept(t).select("entity", "idx", "x", "y", "w", "h")
-    means = scoring.mean_vectors(boxes, scoring.stand_in_recognizer(names), names, ["entity"], "stand-in-125")
+    means = scoring.mean_vectors(
+        boxes, scoring.stand_in_recognizer(names), names, ["entity"], "stand-in-125", t.hot_rows,
+        t.read("lineitem").select(F.col("l_orderkey").alias("entity")),
+    )
     return means.select("entity", "n_samples", *[F.get("scores", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 

@@ -203,3 +203,30 @@ def test_models_of_named_scores_read_an_array(spark):
     model = scoring.from_vectors(factory, ["a", "b"])
     got = {r.k: r.gap for r in scoring.score_batches(df, model, "k string, gap double", "gap").collect()}
     assert got == {"u": 2.5, "v": None}
+
+
+def test_means_leave_the_task_that_scores(spark):
+    """Boxes meet before they are scored: no scores are shuffled, whatever the batches, and hot keys give the same."""
+    rows = [(None if i % 11 == 0 else i % 11, float(i), None if i % 3 == 0 or i % 11 == 4 else i * 0.5) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, a double, b double").repartition(5)
+    factory = lambda: lambda batch: batch
+    by_key = {}
+    for k, a, b in rows:
+        by_key.setdefault(k, []).append((a, b))
+
+    def mean(values):
+        known = [v for v in values if v is not None]
+        return sum(known) / len(known) if known else None
+
+    want = {k: (len(v), [mean(c) for c in zip(*v)]) for k, v in by_key.items()}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for hot_rows in (1_000_000, 30):
+            means = scoring.mean_vectors(df, factory, ["a", "b"], ["k"], "clustered", hot_rows=hot_rows)
+            assert {r.k: (r.n_samples, r.scores) for r in means.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    means = scoring.mean_vectors(df, factory, ["a", "b"], ["k"], "clustered")
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInPandas") < plan.index("Exchange") and "Aggregate" not in plan
