@@ -108,7 +108,7 @@ def topk_pruned(
     """
     spark = probes.sparkSession
     usable = probes.where(F.col("id").isNotNull() & F.col("vec").isNotNull()).select("id", "vec")
-    blocks = max(1, math.ceil(_vector_bytes(usable) / probe_bytes))
+    blocks = max(1, math.ceil(_vector_bytes(usable)[0] / probe_bytes))
     found = None
     for block in range(blocks):
         held = usable.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).toPandas()

@@ -22,6 +22,8 @@ BLOCK_BYTES = 64 << 20
 # Gallery that one task reads past a block of probes.
 SLICE_BYTES = 1 << 30
 TILE_CELLS = 4_000_000
+# Pairs that one task compares.
+TASK_CELLS = 1 << 30
 
 # Similarities that agree to this many decimals count as equal.
 DECIMALS = 9
@@ -37,23 +39,40 @@ def _unit(vectors) -> np.ndarray:
     return m
 
 
-def _best(probe_ids, probe_unit, ids, unit, k: int, skip_self: bool) -> Iterator[pd.DataFrame]:
-    """Top k of a block of rows for every probe, most similar first, ties by id."""
+def _hide_self(sims: np.ndarray, own: np.ndarray, ids: np.ndarray) -> None:
+    rows = np.flatnonzero(np.isin(own, ids))
+    if len(rows):
+        cols = np.flatnonzero(np.isin(ids, own[rows]))
+        row, col = np.nonzero(own[rows][:, None] == ids[cols][None, :])
+        sims[rows[row], cols[col]] = -np.inf
+
+
+def _best(probe_ids, probe_unit, ids, unit, k: int, skip_self: bool, floors=None) -> Iterator[pd.DataFrame]:
+    """Top k of a block of rows for every probe, most similar first, ties by id; ``floors`` are the least worth keeping."""
     if len(ids) == 0:
         return
     width = max(1, TILE_CELLS // len(ids))
     for lo in range(0, len(probe_ids), width):
         own = probe_ids[lo : lo + width]
-        sims = np.round(probe_unit[lo : lo + width] @ unit.T, DECIMALS)
-        sims[np.isnan(sims)] = -np.inf
+        sims = probe_unit[lo : lo + width] @ unit.T
         if skip_self:
-            sims[own[:, None] == ids[None, :]] = -np.inf
-        if len(ids) > k:
-            kth = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
-            row, col = np.nonzero((sims >= kth) & (sims > -np.inf))
+            _hide_self(sims, own, ids)
+        floor = None if floors is None else floors[lo : lo + width, None]
+        if floor is not None and np.isfinite(floor).all():
+            # Only what may reach the floor once rounded is rounded.
+            row, col = np.nonzero(sims >= floor - 2 * 10.0**-DECIMALS)
+            value = np.round(sims[row, col], DECIMALS)
+            reach = value >= floor[row, 0]
+            row, col, value = row[reach], col[reach], value[reach]
         else:
-            row, col = np.nonzero(sims > -np.inf)
-        value = sims[row, col]
+            sims = np.round(sims, DECIMALS)
+            sims[np.isnan(sims)] = -np.inf
+            if len(ids) > k:
+                kth = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
+                row, col = np.nonzero((sims >= kth) & (sims > -np.inf))
+            else:
+                row, col = np.nonzero(sims > -np.inf)
+            value = sims[row, col]
         order = np.lexsort((ids[col], -value, row))
         row, col, value = row[order], col[order], value[order]
         first = np.searchsorted(row, row, side="left")
@@ -61,6 +80,25 @@ def _best(probe_ids, probe_unit, ids, unit, k: int, skip_self: bool) -> Iterator
         yield pd.DataFrame({"probe": own[row[top]], "id": ids[col[top]], "sim": value[top]})
 
 
+def _floors(probe_ids, best: pd.DataFrame, k: int) -> np.ndarray:
+    """The k-th best so far of every probe; no floor while there are fewer."""
+    floors = np.full(len(probe_ids), -np.inf)
+    known, starts, counts = np.unique(best["probe"].to_numpy(), return_index=True, return_counts=True)
+    known, last = known[counts >= k], starts[counts >= k] + k - 1
+    if len(known):
+        at = np.minimum(np.searchsorted(known, probe_ids), len(known) - 1)
+        hit = known[at] == probe_ids
+        floors[hit] = best["sim"].to_numpy()[last[at[hit]]]
+    return floors
+
+
+def _better(best: pd.DataFrame | None, probe_ids, probe_unit, rows: pd.DataFrame, k: int, skip_self: bool) -> pd.DataFrame:
+    """The k best of each probe after more rows of the gallery."""
+    floors = None if best is None else _floors(probe_ids, best, k)
+    found = _best(probe_ids, probe_unit, rows["id"].to_numpy("int64"), _unit(rows["vec"]), k, skip_self, floors)
+    return _cut([*([] if best is None else [best]), *found], k)
+
+
 def _cut(found: list[pd.DataFrame], k: int) -> pd.DataFrame:
     """The k best of several candidate lists for each probe."""
     if not found:
@@ -77,30 +115,37 @@ def topk_similar(
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
     slice_bytes: int = SLICE_BYTES,
+    task_cells: int = TASK_CELLS,
 ) -> DataFrame:
     """The ``k`` rows of ``gallery`` most similar to each probe, exactly; both are (id, vec).
 
     Few probes travel to the gallery's tasks, which need no shuffle. Many are
     cut into blocks that are held one at a time, while a slice of the gallery
     streams past: the gallery is copied once per block, the probes only once
-    per slice, which is much larger. Either way a task multiplies matrices and
+    per slice. Either way a task compares about ``task_cells`` pairs, however
+    large both sides are: more rows make more tasks. It multiplies matrices and
     passes on ``k`` rows per probe, never the pairs. Vectors without a
     direction match nothing.
     """
-    size = _vector_bytes(probes)
+    size, n_probes = _vector_bytes(probes)
+    held, n_gallery = _vector_bytes(gallery)
     if size <= broadcast_bytes:
-        found = _topk_broadcast(probes, gallery, k, skip_self)
+        found = _topk_broadcast(probes, gallery, k, skip_self, math.ceil(n_probes * n_gallery / task_cells))
     else:
-        found = _topk_blocks(probes, gallery, k, skip_self, max(1, math.ceil(size / block_bytes)), slice_bytes)
+        side = math.isqrt(task_cells)
+        n_p = max(1, math.ceil(size / block_bytes), math.ceil(n_probes / side))
+        n_s = max(1, math.ceil(held / slice_bytes), math.ceil(n_gallery / side))
+        found = _topk_blocks(probes, gallery, k, skip_self, n_p, n_s)
     return top_per_key(found, ["probe"], [F.desc("sim"), F.asc("id")], k)
 
 
-def _vector_bytes(vectors: DataFrame) -> int:
-    """Bytes of all vectors as doubles."""
-    return vectors.agg(F.sum(F.size("vec").cast("bigint")) * 8).first()[0] or 0
+def _vector_bytes(vectors: DataFrame) -> tuple[int, int]:
+    """Bytes of all vectors as doubles, and their number."""
+    size, n = vectors.agg(F.sum(F.size("vec").cast("bigint")) * 8, F.count(F.lit(1))).first()
+    return size or 0, n
 
 
-def _topk_broadcast(probes, gallery, k, skip_self):
+def _topk_broadcast(probes, gallery, k, skip_self, tasks):
     held = probes.select("id", "vec").toPandas()
     shared = probes.sparkSession.sparkContext.broadcast(
         (held["id"].to_numpy("int64"), _unit(held["vec"]))
@@ -108,18 +153,18 @@ def _topk_broadcast(probes, gallery, k, skip_self):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         probe_ids, probe_unit = shared.value
-        best: list[pd.DataFrame] = []
+        best = None
         for batch in batches:
-            best += _best(probe_ids, probe_unit, batch["id"].to_numpy("int64"), _unit(batch["vec"]), k, skip_self)
-            best = [_cut(best, k)]
-        yield from best
+            best = _better(best, probe_ids, probe_unit, batch, k, skip_self)
+        if best is not None:
+            yield best
 
-    return gallery.select("id", "vec").mapInPandas(run, CANDIDATE)
+    rows = gallery.select("id", "vec")
+    return (rows.repartition(tasks) if tasks > 1 else rows).mapInPandas(run, CANDIDATE)
 
 
-def _topk_blocks(probes, gallery, k, skip_self, n_p, slice_bytes):
+def _topk_blocks(probes, gallery, k, skip_self, n_p, n_s):
     """Every block of probes with every slice of the gallery; a slice streams past the block and is never held."""
-    n_s = max(1, math.ceil(_vector_bytes(gallery) / slice_bytes))
     own = F.xxhash64("id", "vec")
 
     def dealt(df: DataFrame, side: int, block, part) -> DataFrame:
@@ -134,12 +179,13 @@ def _topk_blocks(probes, gallery, k, skip_self, n_p, slice_bytes):
     passing = dealt(gallery, 1, each(n_p), F.pmod(own, F.lit(n_s)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, block, ready, best = None, [], None, []
+        at, block, ready, best = None, [], None, None
         for batch in batches:
             for place, rows in batch.groupby("_at"):
                 if place != at:
-                    yield from best
-                    at, block, ready, best = place, [], None, []
+                    if best is not None:
+                        yield best
+                    at, block, ready, best = place, [], None, None
                 first = rows["_side"] == 0
                 if first.any():
                     block.append(rows[first])
@@ -148,12 +194,13 @@ def _topk_blocks(probes, gallery, k, skip_self, n_p, slice_bytes):
                     whole = pd.concat(block)
                     ready, block = (whole["id"].to_numpy("int64"), _unit(whole["vec"])), []
                 if ready and len(rows):
-                    best += _best(*ready, rows["id"].to_numpy("int64"), _unit(rows["vec"]), k, skip_self)
-                    best = [_cut(best, k)]
-        yield from best
+                    best = _better(best, *ready, rows, k, skip_self)
+        if best is not None:
+            yield best
 
-    # Probes come before the gallery in each group.
-    rows = held.unionByName(passing).repartition("_at").sortWithinPartitions("_at", "_side")
+    # Every group is a task of its own, and probes come before the gallery in it.
+    met = held.unionByName(passing).repartitionById(n_p * n_s, F.col("_at").cast("int"))
+    rows = met.sortWithinPartitions("_at", "_side")
     return rows.mapInPandas(run, CANDIDATE)
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -221,6 +222,10 @@ def _features(spark, n, seed, copies=0):
     return vecs, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "id long, vec array<float>")
 
 
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 MANY_BLOCKS = {"broadcast_bytes": 0, "block_bytes": 700, "slice_bytes": 2500}
 
 
@@ -249,6 +254,33 @@ def test_topk_small_and_empty(spark):
     assert similarity.topk_similar(zero, df).count() == 0
 
 
+@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0}])
+def test_topk_task_work_is_bounded(spark, how):
+    """More rows make more tasks, even if the gallery is one file; the rows stay the same."""
+    _, df = _features(spark, 150, 4)
+    one = df.coalesce(1)
+    got = similarity.topk_similar(one, one, task_cells=30 * 30, **how)
+    want = similarity.topk_similar(one, one, broadcast_bytes=1 << 30)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    exchange = re.search(r"MapInPandas.*?Exchange (\w+)\(.*?(\d+)\), REPARTITION_BY_NUM", plan_text(got), re.S)
+    assert int(exchange.group(2)) == 25
+
+
+def test_topk_floors_keep_ties(spark):
+    """Equal vectors over many batches: the smaller ids win, also below a floor that they equal."""
+    rows = [(i, [1.0, float(i % 3), 0.0]) for i in reversed(range(300))] + [(7, [1.0, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, vec array<float>").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = {}
+        for r in similarity.topk_similar(df.where("id in (0, 10, 299)"), df, k=4).collect():
+            got.setdefault(r.probe, []).append((r["rank"], r.id))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {p: [i for _, i in sorted(v)] for p, v in got.items()} == {0: [3, 6, 9, 12], 10: [1, 4, 7, 7], 299: [2, 5, 8, 11]}
+
+
 def test_links_by_level(spark):
     times = spark.createDataFrame(
         [(1, "20240101000001"), (2, "20240101000059"), (3, "20240101005900"), (4, "20240101010000")], "id long, start_time string"
