@@ -7,15 +7,16 @@ out of the store, as its command says.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.names import entity_id, start_time, store_path, video_part
 from sightline.functions.vectors import encode_feature
-from sightline.operators.entities import FEATURE, as_group, feature_update
+from sightline.operators.entities import FEATURE, feature_update
 from sightline.operators.scoring import from_vectors, mean_vectors, score_batches
 from sightline.operators.sequences import keeps, kept_samples
 from sightline.plans.commands import fan_out, need_table
@@ -28,6 +29,9 @@ RANK = ("ids",)
 # An entity before a command labels it.
 ENTITY = ("video", "serial")
 
+# Entities whose results one task puts together, about: some 2 KB for each command that asks.
+TASK_ENTITIES = 20_000
+
 Tracker = Callable[[DataFrame], DataFrame]
 
 
@@ -74,19 +78,21 @@ def asked_entities(tasks: DataFrame, tracked: DataFrame, stored: DataFrame) -> D
     return fresh.unionByName(held.unionByName(named).withColumn("origin", F.lit("stored")))
 
 
-def track_rows(tasks: DataFrame, found: DataFrame, root: str, method: str, date: str) -> DataFrame:
-    """One row for every task and tracked entity that is stored: each task has a path of its own."""
+def track_tasks(tasks: DataFrame, found: DataFrame) -> DataFrame:
+    """One row for every task and tracked entity that is stored."""
+    stored = _videos(tasks).where("save_track").select("task", "command", "command_id", "video")
+    return stored.join(found.select(*ENTITY, "num", "start_frame"), "video")
+
+
+def track(root: str, method: str, date: str) -> Column:
+    """The group ``track`` of a row of :func:`track_tasks`: each task has a path of its own. Null without a task."""
     video = F.col("video")
-    return _videos(tasks).where("save_track").select("task", "command", "command_id", "video").join(
-        found.drop("boxes"), "video"
-    ).select(
-        "*",
-        entity_id(video, F.col("serial")).alias("entity_id"),
-        F.col("command").alias("data_type"),
-        store_path(F.lit(root), F.lit(method), F.lit(date), video, F.col("task"), F.col("serial")).alias("path"),
-        start_time(video_part(video, "start"), F.col("start_frame")).alias("start_time"),
-        video_part(video, "camera").alias("cam"),
-    )
+    made = {
+        "path": store_path(F.lit(root), F.lit(method), F.lit(date), video, F.col("task"), F.col("serial")),
+        "start_time": start_time(video_part(video, "start"), F.col("start_frame")),
+        "cam": video_part(video, "camera"),
+    }
+    return F.when(F.col("task").isNotNull(), F.struct(*[made.get(c, F.col(c)).alias(c) for c in TRACK]))
 
 
 def sampled_boxes(found: DataFrame, stored: DataFrame, samples: int) -> DataFrame:
@@ -138,6 +144,7 @@ def entity_updates(
     method: str = "ssd",
     date: str = "1970-01-01",
     keep: Callable[[DataFrame], DataFrame] = kept,
+    task_entities: int = TASK_ENTITIES,
 ) -> DataFrame:
     """What all commands store, in merge form: groups track, attr, feature and rank.
 
@@ -148,14 +155,19 @@ def entity_updates(
     the commands with a serial that one entity. Re-identification ranks by the
     scores of its own plan where attributes feed it, else by the stored ones.
     Every task stores its own track; the last command to ask wins in the merge.
-    ``keep`` stores what a model found, so that it runs once for all that follows.
+    ``keep`` stores what a model found if several steps read it, so that it runs once.
+
+    Scores are many times larger than the rows that ask for them. So they are
+    shuffled once, to tasks by ``entity_id`` of about ``task_entities`` each,
+    where they meet the commands and the tracks; a merge by entity finds them
+    there.
     """
     keys = ["origin", *ENTITY]
     needs = F.broadcast(need_table(commands.sparkSession))
     tasks = fan_out(commands, files).join(needs, "command")
     found = keep(models.tracker(_videos(tasks).select("video").distinct()))
-    held = stored_boxes.select(*ENTITY).distinct()
-    asked = keep(asked_entities(tasks, found.select(*ENTITY), held))
+    held = keep(stored_boxes.select(*ENTITY).distinct())
+    asked = asked_entities(tasks, found.select(*ENTITY), held)
 
     # One row per entity tells which models run on it.
     any_of = lambda condition: F.max(F.expr(condition))
@@ -166,27 +178,42 @@ def entity_updates(
         any_of("save_reid AND NOT fed").alias("_rank_old"),
     )
     boxes = sampled_boxes(found, stored_boxes, models.samples)
-    boxes = keep(boxes.join(entities.where("_score OR _extract").select(*keys, "_score", "_extract"), keys))
-    scores = keep(attributes(boxes.where("_score"), models))
+    boxes = keep(boxes.join(entities.where("_score OR _extract").drop("_rank_old"), keys))
+    # Only the scores that are ranked are read twice.
+    ranked = keep(attributes(boxes.where("_score AND _rank_new"), models))
+    scores = ranked.unionByName(attributes(boxes.where("_score AND NOT _rank_new"), models))
     old = stored_attrs.select(F.lit("stored").alias("origin"), *ENTITY, F.array(*models.names).alias("scores"))
-    new = scores.join(entities.where("_rank_new").select(*keys), keys, "left_semi")
     old = old.join(entities.where("_rank_old").select(*keys), keys, "left_semi")
 
     # All that was found of an entity lies in one row, and so does all that a command stores of it.
-    results = entities.select(*keys).join(scores, keys, "left").join(features(boxes.where("_extract"), models), keys, "left")
-    results = results.join(ranks(new, models).withColumnRenamed("rank", "rank_new"), keys, "left")
-    results = results.join(ranks(old, models).withColumnRenamed("rank", "rank_old"), keys, "left")
+    tasks_of = max(1, math.ceil((held.count() + found.count()) / task_entities))
+
+    def met(df: DataFrame) -> DataFrame:
+        named = df.withColumn("entity_id", entity_id(F.col("video"), F.col("serial")))
+        return named.repartition(tasks_of, "entity_id")
+
+    def beside(rows: DataFrame, made: DataFrame) -> DataFrame:
+        # The entity alone is the key, as in the merge; the origin is a condition.
+        made = met(made).drop(*ENTITY).withColumnsRenamed({"entity_id": "_entity", "origin": "_origin"})
+        same = (F.col("entity_id") == F.col("_entity")) & F.col("origin").between(F.col("_origin"), F.col("_origin"))
+        return rows.join(made, same, "left").drop("_entity", "_origin")
+
+    # A task's track has no origin, so it meets no results.
+    rows = met(asked.unionByName(track_tasks(tasks, found), allowMissingColumns=True))
+    rows = beside(rows, features(boxes.where("_extract"), models))
+    rows = beside(rows, ranks(ranked, models).withColumnRenamed("rank", "rank_new"))
+    rows = beside(rows, ranks(old, models).withColumnRenamed("rank", "rank_old"))
+    rows = beside(rows, scores)
     attr = F.struct(*[F.get("scores", F.lit(i)).alias(n) for i, n in enumerate(models.names)])
-    stored = asked.join(results, keys).select(
-        entity_id(F.col("video"), F.col("serial")).alias("entity_id"),
+    return rows.select(
+        "entity_id",
         F.col("command").alias("data_type"),
+        track(root, method, date).alias("track"),
         F.when(F.col("save_attr") & F.col("scores").isNotNull(), attr).alias("attr"),
         F.when(F.col("save_feature"), F.col("feature")).alias("feature"),
         F.when(F.col("save_reid"), F.when(F.col("fed"), F.col("rank_new")).otherwise(F.col("rank_old"))).alias("rank"),
         F.col("command_id").alias("seq"),
-    ).where("attr IS NOT NULL OR feature IS NOT NULL OR rank IS NOT NULL")
-    tracks = as_group(track_rows(tasks, found, root, method, date), "track", TRACK, F.col("command_id"))
-    return tracks.unionByName(stored, allowMissingColumns=True)
+    ).where("track IS NOT NULL OR attr IS NOT NULL OR feature IS NOT NULL OR rank IS NOT NULL")
 
 
 def command_saver(table: str, files: Callable[[], DataFrame], **how) -> Callable[[DataFrame, int], None]:

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from sightline.operators import scoring
+from sightline.operators.entities import merge_groups
 from sightline.plans import flow
 from sightline.plans.commands import COMMANDS
 from sightline.schema import ATTRS
@@ -111,3 +114,19 @@ def test_commands_to_entities(spark, tmp_path):
             assert r.rank.ids == [(first * 31 + last + 7 * j) % 10_000 for j in range(10)]
     late = [r.track.start_time for (e, _), r in rows.items() if r.track and e.startswith("CAM01") and r.track.start_frame >= 750]
     assert late and all(t.startswith("20240102") for t in late)
+
+
+def test_merge_meets_results_where_they_are(spark):
+    """What models found is shuffled to its entity once; the merge of all commands moves no wide rows again."""
+    commands = spark.createDataFrame([(i, c, "/v", 1) for i, c in enumerate(STORES)], "command_id long, command string, target string, serial long")
+    files = spark.createDataFrame([(f"/v/{v}.mp4",) for v in VIDEOS], "path string")
+    names = list(ATTRS)[:4]
+    held = spark.createDataFrame(
+        [(VIDEOS[0], 1, i, 3, i, 2, 3, 4, b"p") for i in range(3)],
+        "video string, serial long, idx int, n int, x long, y long, w long, h long, patch binary",
+    )
+    old = spark.createDataFrame([(VIDEOS[0], 1, 2.5, 0.0, 0.0, 7.5)], "video string, serial long, " + ", ".join(f"{n} double" for n in names))
+    merged = merge_groups([flow.entity_updates(commands, files, _models(names), held, old)], ["track", "attr", "feature", "rank"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(entity_id" in plan and not re.search(r"hashpartitioning\(entity_id#\w+, data_type", plan)
+    assert merged.count() == merged.select("entity_id", "data_type").distinct().count() > 0
