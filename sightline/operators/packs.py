@@ -29,7 +29,8 @@ def plan_packs(
     members into cells of about ``cell_packs`` packs, and a cell fills its
     packs one after the other in the order of members. So no task meets more
     files than a cell holds, however large one key is, and a pack is over
-    ``target`` by less than its last file. The plan depends on the files alone.
+    ``target`` by less than its last file. Files are sorted
+    once. The plan depends on the files alone.
     A null length counts as 0; repeated rows are files of their own.
     """
     keys = list(keys)
@@ -39,8 +40,13 @@ def plan_packs(
     place = F.conv(F.substring(F.md5(F.col(member).cast("string")), 1, 8), 16, 10).cast("bigint")
     dealt = sized.join(cells, keys).withColumn("_cell", F.coalesce(place, F.lit(0)) % F.col("_cells")).drop("_cells")
     by_cell = Window.partitionBy(*keys, "_cell").orderBy(member, "length")
-    before = F.coalesce(F.sum(weight).over(by_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    packed = dealt.withColumn("pack", F.shiftleft("_cell", 32) + int_div(before, target))
-    by_pack = Window.partitionBy(*keys, "_cell", "pack").orderBy(member, "length")
-    offset = F.sum("length").over(by_pack.rowsBetween(Window.unboundedPreceding, -1))
-    return packed.withColumn("offset", F.coalesce(offset, F.lit(0))).drop("_cell")
+    before = by_cell.rowsBetween(Window.unboundedPreceding, -1)
+    packed = dealt.withColumns({
+        "pack": F.shiftleft("_cell", 32) + int_div(F.coalesce(F.sum(weight).over(before), F.lit(0)), target),
+        "_at": F.coalesce(F.sum("length").over(before), F.lit(0)),
+    })
+    # Places only grow in a cell, so a pack begins at the last place where one began.
+    began = F.when(F.lag("pack").over(by_cell).eqNullSafe(F.col("pack")), F.lit(None)).otherwise(F.col("_at"))
+    packed = packed.withColumn("_began", began)
+    start = F.max("_began").over(by_cell.rowsBetween(Window.unboundedPreceding, 0))
+    return packed.withColumn("offset", F.col("_at") - start).drop("_cell", "_at", "_began")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,15 @@ def test_plan(spark):
     assert plan_packs(df.limit(0)).collect() == []
 
 
+def test_plan_sorts_once(spark):
+    rows = [("hot", f"{i}/x", i * 37 % 900 * (i % 4 > 0)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "task string, member string, length long")
+    planned = plan_packs(df, target=4096, cell_packs=2)
+    assert {(r.task, r.member): (r.pack, r.offset) for r in planned.collect()} == _expected(rows, 4096, 2)
+    plan = planned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert len(re.findall(r"Sort \[[^\]]*_cell", plan)) == 1
+
+
 def test_plan_of_nulls_and_repeated_rows(spark):
     df = spark.createDataFrame([("t", "a", None), ("t", "a", None), ("t", None, 5), (None, "a", 3)], "task string, member string, length long")
     got = plan_packs(df)
