@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -195,6 +196,44 @@ def test_fan_out_follows_folders(spark):
     assert ports["attrrecog"] == ["pedestrian-tracklet-for-attr-recog"]
 
 
+def test_entity_fan_out_in_cells(spark):
+    # Every video's tasks meet all its entities; rows that repeat or hold nulls stay as they are.
+    tasks = spark.createDataFrame(
+        [("a", i, "entity") for i in (1, 2, 2, 3, None)]
+        + [("b", 9, "entity"), ("b", 8, "video"), (None, 7, "entity"), ("none", 6, "entity")],
+        "video string, command_id long, input string",
+    ).withColumn("task", F.concat_ws("|", "video", "command_id"))
+    stored = spark.createDataFrame(
+        [("a", f"/a/{i % 9}") for i in range(12)] + [("a", None), ("b", "/b/0"), (None, "/c/0"), ("c", "/c/1")],
+        "video string, url string",
+    )
+    columns = ["video", "command_id", "input", "task", "url"]
+    want = tasks.where("input = 'entity'").join(stored, "video").select(*columns)
+    for parts in ({}, {"cell_entities": 4, "cell_tasks": 2}, {"cell_entities": 1, "cell_tasks": 1}):
+        got = C.entity_fan_out(tasks, stored, **parts)
+        assert got.columns == columns
+        assert Counter(got.collect()) == Counter(want.collect()), parts
+    assert C.entity_fan_out(tasks.where("video = 'none'"), stored).count() == 0
+
+
+def test_entity_fan_out_is_spread_and_small_on_disk(spark, tmp_path):
+    # 200 videos of 50 tasks and 200 entities; a video's tasks arrive far from each other.
+    video = F.concat(F.lit("CAM01-19950102000000-"), F.col("id") % 200)
+    tasks = spark.range(0, 10_000, 1, 1).select(
+        video.alias("video"), F.lit("entity").alias("input"), F.md5(F.col("id").cast("string")).alias("task")
+    )
+    stored = spark.range(0, 40_000, 1, 1).select(
+        video.alias("video"), F.concat(F.lit("/meta/result/ssd/2018-05-09/"), video, F.lit("/task/"), "id").alias("url")
+    )
+    C.entity_fan_out(tasks, stored).write.parquet(str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert written.count() == 2_000_000 and written.distinct().count() == 2_000_000
+    # One Spark task wrote all rows before, in several bytes each.
+    most = written.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert most <= 1_000_000
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 2_000_000
+
+
 def test_merge_executed(spark):
     rows = [("p", 1, False), ("p", 1, True), ("p", 2, False), ("p", 2, False)]
     got = G.merge_executed(spark.createDataFrame(rows, "plan string, node long, executed boolean"))
