@@ -17,6 +17,9 @@ from sightline.functions.vectors import decode_feature
 
 KEYS = ("entity_id", "data_type")
 
+# A number that the entity alone decides. Updates with it lie by it, and are merged where they lie.
+PART = "entity_id_part"
+
 # Column groups that arrive together.
 TRACK = ("path", "start_time", "start_frame", "boxes_json", "cam", "video")
 FEATURE = ("reid_feature", "is_finish", "is_get_sim")
@@ -36,7 +39,9 @@ def merge_groups(parts: Sequence[DataFrame], groups: Sequence[str], keys: Sequen
     """Newest struct of every group per key.
 
     One shuffle for the stored rows and all updates; each task first reduces
-    the updates of a key to one row.
+    the updates of a key to one row. Updates that come alone and with ``PART``
+    are merged in their parts; then the values of a type lie side by side, which
+    columnar files store in less.
     """
     merged = parts[0]
     for part in parts[1:]:
@@ -45,7 +50,8 @@ def merge_groups(parts: Sequence[DataFrame], groups: Sequence[str], keys: Sequen
         if group not in merged.columns:
             raise ValueError(f"no part carries the group {group}")
     newest = [F.max_by(g, F.when(F.col(g).isNotNull(), F.col("seq"))).alias(g) for g in groups]
-    return merged.groupBy(*keys).agg(*newest, F.max("seq").alias("seq"))
+    together = [PART, *reversed(keys)] if len(parts) == 1 and PART in merged.columns else keys
+    return merged.groupBy(*together).agg(*newest, F.max("seq").alias("seq")).select(*keys, *groups, "seq")
 
 
 def flatten_groups(merged: DataFrame, groups: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:

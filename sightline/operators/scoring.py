@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +33,63 @@ def score_batches(
     calling. ``gather`` turns all that the model returns in a task into the
     task's rows.
     """
-    content = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+    model = _per_worker(factory, name)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = map(model(), batches)
+        yield from gather(made) if gather else made
+
+    return df.mapInPandas(run, schema)
+
+
+def _per_worker(factory: Callable, name: str) -> Callable:
+    content = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+    def model():
         # A worker serves many tasks, but each task unpickles this function with
         # its own globals; what has to outlive the task is kept with the interpreter.
         models = vars(sys).setdefault("_sightline_models", {})
         if models.get(name, (None,))[0] != content:
             models[name] = content, factory()
-        made = map(models[name][1], batches)
-        yield from gather(made) if gather else made
+        return models[name][1]
 
-    return df.mapInPandas(run, schema)
+    return model
+
+
+def score_parts(
+    df: DataFrame,
+    factory: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    schema: T.StructType,
+    name: str,
+    part: str,
+) -> DataFrame:
+    """Run a model once over all rows of each ``part``; returns ``part`` and the columns of ``schema``.
+
+    Spark does not know where rows lie that :func:`score_batches` returns. Here
+    it does, so what follows and groups by ``part`` shuffles none of the scores.
+    A part is held in memory. Workers keep models as they do there.
+    """
+    model = _per_worker(factory, name)
+
+    def run(rows: pa.Array) -> pa.Scalar:
+        made = model()(pa.RecordBatch.from_struct_array(rows)).to_struct_array()
+        return pa.ListArray.from_arrays(pa.array([0, len(made)], pa.int32()), made)[0]
+
+    score = F.arrow_udf(run, T.ArrayType(schema))
+    rows = F.struct(*[c for c in df.columns if c != part])
+    return df.groupBy(part).agg(score(rows).alias("_made")).select(part, F.inline("_made"))
+
+
+def mean_rows(model: Callable[[pd.DataFrame], pd.DataFrame], names: Sequence[str], keys: Sequence[str]) -> Callable:
+    """What :func:`mean_vectors` makes of boxes that are all in one frame."""
+
+    def run(boxes: pd.DataFrame) -> pd.DataFrame:
+        scores = model(boxes) if len(boxes) else boxes
+        if scores.empty:
+            return pd.DataFrame(columns=[*keys, "n_samples", "scores"])
+        return _means(_sums(scores, names, keys), keys)
+
+    return run
 
 
 def _sums(scores: pd.DataFrame, names: Sequence[str], keys: Sequence[str]) -> pd.DataFrame:

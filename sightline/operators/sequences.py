@@ -73,7 +73,12 @@ def sample_nested(boxes: Column, samples: int) -> Column:
 
 def kept_samples(boxes: DataFrame, patch: str = "patch") -> DataFrame:
     """Boxes with pixels and an area."""
-    return boxes.where(F.col(patch).isNotNull() & (F.col("w") * F.col("h") != 0))
+    return boxes.where(has_sample(patch))
+
+
+def has_sample(patch: str = "patch") -> Column:
+    """Whether a box has pixels and an area."""
+    return F.col(patch).isNotNull() & (F.col("w") * F.col("h") != 0)
 
 
 def kept_nested(boxes: Column) -> Column:

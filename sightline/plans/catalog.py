@@ -759,7 +759,7 @@ def command_flow(t: Tables) -> DataFrame:
     # What was stored before: the mean score s1 of the entity, plus the attribute's number.
     old = [(F.col("s1") + i).alias(n) for i, n in enumerate(names)]
     attrs = _means(t).join(owner, "entity").select("video", "serial", *old)
-    updates = flow.entity_updates(t.commands(), t.files(), models, boxes, attrs, date="2018-05-09")
+    updates = flow.entity_updates(t.commands(), t.files(), models, boxes, attrs, date="2018-05-09", lie_by=["entity"])
     stored = E.merge_groups([updates], ["track", "attr", "feature", "rank"])
     vec = V.decode_feature(F.col("feature.reid_feature"))
     return stored.select(

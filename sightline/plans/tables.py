@@ -157,8 +157,6 @@ class Tables:
         hundredths = lambda c: F.round(F.col(c) * 100)
         raw = self.read("lineitem").select(
             F.col("l_orderkey").alias("entity"),
-            (F.col("l_partkey") % 640).alias("x"),
-            (F.col("l_suppkey") % 480).alias("y"),
             (F.col("l_quantity").cast("bigint") - 1).alias("w"),
             (F.col("l_linenumber").cast("bigint") * 10).alias("h"),
             hundredths("l_discount").alias("s1"),
@@ -168,8 +166,12 @@ class Tables:
             F.col("l_suppkey").alias("_b"),
         )
         order = [F.asc(c) for c in ("h", "_a", "_b", "w", "s1", "s2")]
+        # Places follow from the order's columns, so they are made behind its shuffle.
+        place = [(F.col("_a") % 640).alias("x"), (F.col("_b") % 480).alias("y")]
+        rest = ["w", "h", "s1", "s2", "s3", "idx", "n"]
         return self._once(
-            "_boxes", lambda: number_rows(raw, ["entity"], order, total="n", hot_rows=self.hot_rows).drop("_a", "_b")
+            "_boxes",
+            lambda: number_rows(raw, ["entity"], order, total="n", hot_rows=self.hot_rows).select("entity", *place, *rest),
         )
 
     def patched_boxes(self) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.operators.entities import KEYS, merge_groups
+from sightline.operators.entities import KEYS, PART, merge_groups
 
 # Folders of a base; more let a lookup of few keys read less.
 BUCKETS = 256
@@ -30,7 +30,8 @@ _VERSION = "version long, last_batch long, buckets int"
 
 def write_updates(updates: DataFrame, root: str, batch_id: int) -> None:
     """Store one batch of updates in merge form (keys, group structs, ``seq`` inside the batch)."""
-    updates.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    # How many parts there are is up to the batch.
+    updates.drop(PART).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
 def current_version(spark: SparkSession, root: str) -> Row | None:

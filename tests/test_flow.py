@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import re
 
 from pyspark.sql import functions as F
@@ -130,3 +131,49 @@ def test_merge_meets_results_where_they_are(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(entity_id" in plan and not re.search(r"hashpartitioning\(entity_id#\w+, data_type", plan)
     assert merged.count() == merged.select("entity_id", "data_type").distinct().count() > 0
+
+
+def _held(spark, sizes):
+    rows = [(VIDEOS[0], s, i, n, i + s, 2, 3, 4, b"p") for s, n in sizes.items() for i in range(n)]
+    return spark.createDataFrame(rows, "video string, serial long, idx int, n int, x long, y long, w long, h long, patch binary")
+
+
+def test_models_run_where_the_merge_finds_their_results(spark, tmp_path):
+    """Boxes and commands are shuffled to the parts of entities, scores are not; a command has one track for an entity."""
+    rows = [(i, "track-attrrecog-reid", "/v", 1) for i in range(20)] + [(20, "attrrecog-reidfeature", "/v", 1)]
+    commands = spark.createDataFrame(rows, "command_id long, command string, target string, serial long")
+    files = spark.createDataFrame([(f"/v/{v}.mp4",) for v in VIDEOS], "path string")
+    names = list(ATTRS)[:4]
+    old = spark.createDataFrame([(VIDEOS[0], 1, 2.5, 0.0, 0.0, 7.5)], "video string, serial long, " + ", ".join(f"{n} double" for n in names))
+    updates = flow.entity_updates(commands, files, _models(names), _held(spark, {0: 3, 1: 9}), old, part_entities=2)
+    groups = ["track", "attr", "feature", "rank"]
+    merged = merge_groups([updates], groups)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("ArrowAggregatePython")], "nothing is shuffled once it is scored"
+    tracks = updates.where("track IS NOT NULL").select("entity_id", "seq", "track.path").collect()
+    assert len(tracks) == sum(len(_expected(v)) for v in VIDEOS) and {r.seq for r in tracks} == {19}
+    last = {spark.sql(f"select md5('19|/v/{v}.mp4') as t").first().t for v in VIDEOS}
+    assert {r.path.split("/")[-2] for r in tracks} == last
+    # Batches have parts of their own, so these are not stored.
+    for batch in range(2):
+        upserts.write_updates(updates, str(tmp_path / "t"), batch)
+    stored = upserts.read_entities(spark, str(tmp_path / "t"), groups)
+    assert stored.count() == merged.count() == len(tracks) + 2
+
+
+def test_long_sequences_are_scored_over_many_tasks(spark):
+    """Where every box is sampled, a long sequence gives what it gives in one place."""
+    commands = spark.createDataFrame([(1, "attrrecog-reidfeature", "/v", 1), (2, "attrrecog-reid", "/v", 1)], "command_id long, command string, target string, serial long")
+    files = spark.createDataFrame([(f"/v/{VIDEOS[0]}.mp4",)], "path string")
+    names = list(ATTRS)[:4]
+    old = spark.createDataFrame([], "video string, serial long, " + ", ".join(f"{n} double" for n in names))
+    models = dataclasses.replace(_models(names), samples=-1)
+    held = _held(spark, {0: 3, 1: 9})
+    got = [
+        sorted(flow.entity_updates(commands, files, models, held, old, long_boxes=most).drop("entity_id_part").collect(), key=str)
+        for most in (4, 100)
+    ]
+    assert got[0] == got[1] and len(got[0]) == 3
+    scores = {(r.entity_id[-1], r.data_type): r.attr[0] for r in got[0]}
+    base = [(i + 1) * 31 + 2 * 17 + 3 * 7 + 4 * 3 for i in range(9)]
+    assert scores[("1", "attrrecog-reid")] == sum(b % 1000 for b in base) / 9
