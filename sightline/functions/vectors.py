@@ -53,8 +53,7 @@ def mean_abs_diff(a: Column, b: Column) -> Column:
     return _total(F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double")))) / F.size(a)
 
 
-@F.pandas_udf(T.BinaryType())
-def pack_floats(vectors: pd.Series) -> pd.Series:
+def pack_series(vectors: pd.Series) -> pd.Series:
     """float array -> big-endian 4-byte floats; a batch is converted at once and cut up."""
     held = vectors[vectors.notna()]
     ends = held.map(len).cumsum() * 4
@@ -63,6 +62,9 @@ def pack_floats(vectors: pd.Series) -> pd.Series:
     return pd.Series(cut, index=held.index, dtype=object).reindex(vectors.index).replace({np.nan: None})
 
 
+pack_floats = F.pandas_udf(pack_series, T.BinaryType())
+
+
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def unpack_floats(blobs: pd.Series) -> pd.Series:
     """Big-endian 4-byte floats -> float array; a batch is converted at once and cut up."""

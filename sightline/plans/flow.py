@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.functions.names import entity_id, start_time, store_path, video_part
-from sightline.functions.vectors import pack_floats
+from sightline.functions.vectors import pack_series
 from sightline.operators.entities import FEATURE, PART, feature_update
 from sightline.operators.scoring import from_vectors, mean_rows, mean_vectors, score_parts
 from sightline.operators.sequences import has_sample, keeps, kept_samples
@@ -251,7 +251,7 @@ def _entity_models(models: Models) -> Callable:
             out = {c: rows.column(c) for c in (*keys, "asks")}
             out |= {
                 "scores": pa.array(list(scores), pa.list_(pa.float64())),
-                "reid_feature": pa.array([b and b64encode(b).decode() for b in pack_floats.func(vecs)], pa.string()),
+                "reid_feature": pa.array([b and b64encode(b).decode() for b in pack_series(vecs)], pa.string()),
                 "extracted": pa.array(extracted),
                 "ids_new": pa.array(list(new_ids), pa.list_(pa.int64())),
                 "ranked_new": pa.array(new),

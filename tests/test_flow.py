@@ -3,8 +3,10 @@ from __future__ import annotations
 import dataclasses
 import re
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from sightline.functions.vectors import encode_feature
 from sightline.operators import scoring
 from sightline.operators.entities import merge_groups
 from sightline.plans import flow
@@ -177,3 +179,9 @@ def test_long_sequences_are_scored_over_many_tasks(spark):
     scores = {(r.entity_id[-1], r.data_type): r.attr[0] for r in got[0]}
     base = [(i + 1) * 31 + 2 * 17 + 3 * 7 + 4 * 3 for i in range(9)]
     assert scores[("1", "attrrecog-reid")] == sum(b % 1000 for b in base) / 9
+
+
+def test_models_travel_after_features_were_stored(spark):
+    """What a session keeps of a function it has used does not go to the workers with the models."""
+    encode_feature(F.lit(None).cast("array<float>"))
+    assert cloudpickle.dumps(flow._entity_models(_models(list(ATTRS)[:4])))
